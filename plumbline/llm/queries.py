@@ -5,12 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm import quality
+
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm import toxicity
+
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.withColumn("toxic", (F.col("p_toxic") >= toxicity.THRESHOLD).cast("int"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.llm.simhash import near_duplicates
 
@@ -18,6 +34,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op3_toxicity": op3_toxicity,
     "op8_simhash": op8_simhash,
 }
 
