@@ -27,6 +27,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("toxic", (F.col("p_toxic") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.decontaminate import contamination
+
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.llm.simhash import near_duplicates
 
@@ -36,7 +42,35 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_toxicity": op3_toxicity,
+    "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+_OP7 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM benchmark
+), win AS (
+  SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS phrase
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0)
+), gram AS (
+  SELECT doc_id, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM win) WHERE len(w) >= k)
+), hit AS (
+  SELECT doc_id, i, k, item FROM gram JOIN win USING (k, phrase)
+), covered AS (
+  SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op7_decontaminate": _OP7,
+}
