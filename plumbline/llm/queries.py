@@ -27,6 +27,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("toxic", (F.col("p_toxic") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm import tokenfile
+
+    return tokenfile.read(tokenfile.write(_table(spark, sf_dir, "documents")))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.llm.decontaminate import contamination
 
@@ -39,11 +45,19 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.packing import pack_documents
+
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_toxicity": op3_toxicity,
+    "op5_token_files": op5_token_files,
     "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
+    "op9_packing": op9_packing,
 }
 
 _OP7 = r"""
