@@ -51,6 +51,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.minhash import edit_likeness
+
+    return edit_likeness(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_toxicity": op3_toxicity,
@@ -58,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
+    "op10_minhash": op10_minhash,
 }
 
 _OP7 = r"""
