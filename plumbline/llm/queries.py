@@ -19,6 +19,13 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm import urls
+
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, urls.default_rules(spark)).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.llm import toxicity
 
@@ -27,6 +34,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("toxic", (F.col("p_toxic") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm import warc
+
+    records = warc.read(warc.write(_table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.llm import tokenfile
 
@@ -59,7 +73,9 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_urls": op2_urls,
     "op3_toxicity": op3_toxicity,
+    "op4_warc": op4_warc,
     "op5_token_files": op5_token_files,
     "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
@@ -92,6 +108,31 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+_OP2 = r"""
+WITH rules(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+u AS (
+  SELECT row_number() OVER () AS id, page_id,
+         translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's'), '') AS path
+  FROM pages
+), m AS (
+  SELECT id, max_by(h || p, length(h || p)) AS rule, max_by(v, length(h || p)) AS verdict
+  FROM u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY id
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN m USING (id)
+"""
+
+_OP4 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS d, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+g AS (SELECT d, max(page_id) AS first FROM p WHERE n >= 1000 GROUP BY d)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN g USING (d)
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_urls": _OP2,
+    "op4_warc": _OP4,
     "op7_decontaminate": _OP7,
 }
