@@ -47,6 +47,13 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read(tokenfile.write(_table(spark, sf_dir, "documents")))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from plumbline.llm.pii import replace_entities
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_entities(docs, key="plumbline-query-key")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from plumbline.llm.decontaminate import contamination
 
@@ -77,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op5_token_files": op5_token_files,
+    "op6_pii": op6_pii,
     "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
