@@ -136,3 +136,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     kind = docs.schema[id_col].dataType.simpleString()
     scored = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, with all their columns; no row moves."""
+    sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pickle.loads(sent.value)
+        for batch in batches:
+            yield batch.filter(pa.array(scores(own, batch.column(at).to_pylist()) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
