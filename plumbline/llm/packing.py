@@ -247,8 +247,8 @@ def _piece_batches(name: str, end: int, capacity: int):
         encode, last, width = encoder(name), np.array([end], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = encode(text.as_py()) + last
+            for doc, ids in zip(batch.column(0).to_pylist(), encode.many(batch.column(1).to_pylist()), strict=True):
+                data = ids + last
                 for p, at in enumerate(range(0, len(data), width)):
                     part = data[at : at + width]
                     rows.append((doc, p, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -209,9 +209,9 @@ def _write_batches(folder: str, name: str, end: int, base: int, shard_tokens: in
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc, ids in zip(batch.column(0).to_pylist(), encode.many(batch.column(1).to_pylist()), strict=True):
                 docs.append(doc)
-                data.append(encode(text.as_py()) + last)
+                data.append(ids + last)
                 size += len(data[-1]) // 4
                 if size >= shard_tokens:
                     yield flush()

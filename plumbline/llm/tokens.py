@@ -1,30 +1,31 @@
 """Token ids of whole texts with a public tokenizer file, by way of a memory of pieces.
 
 The tokenizers library first splits a text into pieces and then merges inside each piece, so equal pieces always give
-equal ids. Texts are split here with the file's own pattern and only pieces not seen before go to the library. That
-holds for texts whose splitting the two sides are sure to agree on: characters of blocks that have long been complete,
-in composed form, and without the one letter whose lower-case form has two characters. Any other text goes to the
-library whole. Strings that look like special tokens are ordinary text.
+equal ids. Texts are split here, by the rule of the file's pattern, for many texts at once in numpy; Arrow numbers the
+different pieces, and only pieces that the memory lacks go to the library. That holds for texts whose splitting the two
+sides are sure to agree on: characters of blocks that have long been complete, in composed form, without apostrophes
+(the patterns treat contractions apart) and without the one letter whose lower-case form has two characters. Any other
+text goes to the library whole. Strings that look like special tokens are ordinary text.
 """
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-#: How the two files split a text (fixed values; the second is applied before lower-casing, hence the capitals).
-PATTERNS = {
-    BYTE_BPE: r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",
-    WORD_BPE: r"""'[sS]|'[tT]|'[rR][eE]|'[vV][eE]|'[mM]|'[lL][lL]|'[dD]|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+""",
-}
-_UNSURE = re.compile(r"[^\x00-ɏͰ-ϿЀ-џ‐-‧‰-⁞€ぁ-ゖァ-ヺ一-龥]|İ")
-#: Pieces kept in memory, and the longest piece kept.
-MEMORY, LONGEST = 500_000, 48
+_UNSURE = re.compile("[^\\x01-\\x1b\\x20-&(-\u024f\u0370-\u03ff\u0400-\u045f\u2010-\u2027\u2030-\u205e\u20ac\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5]|\u0130")
+_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u2028\u2029"
+#: Pieces in each of the two generations of the memory, and the longest piece kept.
+MEMORY, LONGEST = 400_000, 48
+#: Characters of text whose new pieces go to the library together.
+TOGETHER = 3 << 20
 
 
 def tokenizer_path(name: str) -> str:
@@ -36,44 +37,148 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+_END, _LETTER, _NUMBER, _OTHER, _WHITE = range(5)
+
+
+@functools.cache
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """Class and UTF-8 length of every 16-bit character; 0 stands between texts."""
+    kinds = np.full(1 << 16, _OTHER, np.uint8)
+    for c in range(1 << 16):
+        first = unicodedata.category(chr(c))[0]
+        kinds[c] = _LETTER if first == "L" else _NUMBER if first == "N" else _OTHER
+    kinds[[ord(c) for c in _SPACE]] = _WHITE
+    kinds[0] = _END
+    code = np.arange(1 << 16)
+    return kinds, (1 + (code >= 0x80) + (code >= 0x800)).astype(np.uint8)
+
+
+def _starts_bytes(kind: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Where pieces begin: runs of letters, of numbers and of others, each with one space before it; of a run of white
+    space before such a piece, all but the last character, and that one by itself unless it is the space."""
+    before, here = kind[:-1], kind[1:]
+    change = before != here
+    start = np.concatenate([[True], change])
+    word = (here != _WHITE) & (here != _END) & (before == _WHITE)
+    at = np.flatnonzero(word)
+    start[at] = True  # the last white character begins a piece, alone or with what follows
+    start[at[code[at] == 32] + 1] = False
+    return start
+
+
+def _starts_words(kind: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Where pieces begin: runs of letters and of others, single numbers; white space is dropped later."""
+    return np.concatenate([[True], (kind[:-1] != kind[1:]) | (kind[1:] == _NUMBER)])
+
+
 class Encoder:
-    """Encodes texts to little-endian unsigned 32-bit ids. One per Python worker; see :func:`encoder`."""
+    """Encodes texts to little-endian unsigned 32-bit ids. One per Python worker; see :func:`encoder`.
+
+    The memory has two generations. When the young one is full it becomes the old one, and pieces that come up again
+    move back, so that memory is bounded and frequent pieces stay.
+    """
 
     def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
         self.tokenizer.encode_special_tokens = True
-        pattern = PATTERNS.get(os.path.basename(name))
-        self.find = regex.compile(pattern).findall if pattern else None
+        base = os.path.basename(name)
+        self.starts = {BYTE_BPE: _starts_bytes, WORD_BPE: _starts_words}.get(base)
+        # What keeps joined pieces apart: a line feed is a piece of its own, or white space that is dropped.
+        self.between, self.stride = ("\n", 2) if base == BYTE_BPE else (" ", 1)
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if self.find is None or _UNSURE.search(text) or not unicodedata.is_normalized("NFC", text):
-            return self.whole([text])[0]
-        pieces = self.find(text)
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            pass
+    def _fresh(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces, joined for one call of the library; pieces of white space go one by one."""
+        joined = [p for p in pieces if not p.isspace()]
+        found: dict[str, bytes] = {}
+        if len(joined) > 1:
+            e = self.tokenizer.encode(self.between.join(joined), add_special_tokens=False)
+            words = np.array(e.word_ids, np.int64)
+            if len(words) and words[-1] == self.stride * (len(joined) - 1):
+                data = np.array(e.ids, "<u4").tobytes()
+                wanted = self.stride * np.arange(len(joined))
+                at, to = np.searchsorted(words, wanted) * 4, np.searchsorted(words, wanted, "right") * 4
+                found = {p: data[i:j] for p, i, j in zip(joined, at.tolist(), to.tolist(), strict=True)}
+        rest = [p for p in pieces if p not in found]
+        found.update(zip(rest, self.whole(rest), strict=True))
+        return found
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces, from memory as far as it has them."""
+        known, old = self.known, self.old
         if len(known) > MEMORY:
-            known.clear()
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
-        known.update(zip(new, self.whole(new), strict=True))
-        out = b"".join(map(known.__getitem__, pieces))
-        for p in new:
-            if len(p) > LONGEST:
-                del known[p]
+            self.old, self.known = known, {}
+            known, old = self.known, self.old
+        missing = [p for p in pieces if p not in known]
+        known.update((p, old[p]) for p in missing if p in old)
+        fresh = self._fresh([p for p in missing if p not in known])
+        known.update((p, v) for p, v in fresh.items() if len(p) <= LONGEST)
+        return [known[p] if p in known else fresh[p] for p in pieces]
+
+    def many(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of every text, in order."""
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            size, to = 0, at
+            while to < len(texts) and size < TOGETHER:
+                size += len(texts[to] or "")
+                to += 1
+            out += self._some(texts[at:to])
+            at = to
         return out
 
+    def __call__(self, text: str | None) -> bytes:
+        return self._some([text])[0]
+
+    def _some(self, texts: list[str | None]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(texts)
+        sure = []
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            if self.starts and not _UNSURE.search(t) and unicodedata.is_normalized("NFC", t):
+                sure.append(i)
+            else:
+                out[i] = self.whole([t])[0]
+        if sure:
+            for i, ids in zip(sure, self._split([texts[i] for i in sure]), strict=True):
+                out[i] = ids
+        return out
+
+    def _split(self, texts: list[str]) -> list[bytes]:
+        line = "\0".join(texts) + "\0"
+        code = np.frombuffer(line.encode("utf-32-le"), np.uint32)
+        kinds, sizes = _classes()
+        kind = kinds[code]
+        place = np.flatnonzero(self.starts(kind, code))
+        ends = np.cumsum(sizes[code], dtype=np.int32)  # of each character, in UTF-8
+        offsets = np.concatenate([[0], ends[place[1:] - 1], ends[-1:]]).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(place), pa.py_buffer(offsets), pa.py_buffer(line.encode()))
+        coded = pieces.dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        skip = {"\0"} if self.stride == 2 else None
+        wanted = [p for p in different if p != "\0" and (skip or not p.isspace())]
+        found = dict(zip(wanted, self._ids(wanted), strict=True))
+        data = [found.get(p, b"") for p in different]
+        pool = np.frombuffer(b"".join(data), "<u4")
+        size = np.fromiter(map(len, data), np.int64, len(data)) // 4
+        begin = np.cumsum(size) - size
+        which = coded.indices.to_numpy()
+        n = size[which]
+        to = np.cumsum(n)
+        ids = pool[np.repeat(begin[which] - (to - n), n) + np.arange(int(to[-1]))]
+        raw = ids.tobytes()
+        last = (to[np.flatnonzero(kind[place] == _END)] * 4).tolist()  # every text ends with its 0
+        return [raw[a:b] for a, b in zip([0, *last], last, strict=False)]
+
 
 _encoders: dict[str, Encoder] = {}
 

@@ -40,8 +40,10 @@ def test_encoder_is_the_library(name):
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=60))
 def test_encoder_on_any_text(text):
+    """Joined pieces, too: the memory is emptied first."""
     text = text.encode("utf-8", "ignore").decode()
     for name in (tokens.BYTE_BPE, tokens.WORD_BPE):
+        tokens.encoder(name).known.clear()
         assert np.frombuffer(tokens.encoder(name)(text), "<u4").tolist() == direct_cached(name)(text)
 
 
@@ -59,6 +61,8 @@ def test_encoder_memory_is_bounded(monkeypatch):
     encode, want = tokens.Encoder(tokens.BYTE_BPE), direct(tokens.BYTE_BPE)
     for _, text in made(9):
         assert np.frombuffer(encode(text), "<u4").tolist() == want(text)
+    texts = [t for _, t in made(10)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode.many(texts)] == [want(t) for t in texts]
     assert all(len(p) <= tokens.LONGEST for p in encode.known)
 
 
