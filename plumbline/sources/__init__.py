@@ -1 +1 @@
-"""See the package README."""
+"""Sources, sinks and the dataset catalog."""

@@ -1 +1 @@
-"""See the package README."""
+"""Structured Streaming: keyed bounded state and event-time windows."""
