@@ -19,11 +19,11 @@ def read_episodes(spark: SparkSession, path: str, dataset: str, schema: str = LI
     don't parse become nulls with the line in ``_corrupt`` (PERMISSIVE) or stop the job (FAILFAST).
     """
     own = schema if mode == "FAILFAST" else f"{schema}, _corrupt string"
-    reader = spark.read.schema(own).option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").option("mode", mode).option("columnNameOfCorruptRecord", "_corrupt")
-    names = [f.name for f in reader.json(path).schema]
-    raw = reader.json(path).select(F.col("_metadata.file_path").alias("episode_id"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__line"), *names)
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path)
+    raw = lines.select(F.col("_metadata.file_path").alias("episode_id"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__line"), "value").where(F.trim("value") != "")
     w = Window.partitionBy("episode_id").orderBy("__block", "__line")
-    return raw.select(F.lit(dataset).alias("dataset"), "episode_id", (F.row_number().over(w) - 1).alias("frame_index"), *names)
+    parsed = F.from_json("value", own, {"mode": mode, "columnNameOfCorruptRecord": "_corrupt"})
+    return raw.select(F.lit(dataset).alias("dataset"), "episode_id", (F.row_number().over(w) - 1).alias("frame_index"), parsed.alias("__p")).select("dataset", "episode_id", "frame_index", "__p.*")
 
 
 def quarantine(frames: DataFrame) -> tuple[DataFrame, DataFrame]:
