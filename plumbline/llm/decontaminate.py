@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.store import keep
+from plumbline.llm.store import keep, map_arrow
 
 WINDOW = 10
 SEGMENT_BYTES = 1 << 21
@@ -93,7 +93,7 @@ def _index_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Segments of the positional index of ``docs``, written to the shared folder and read from there."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return keep(narrow.mapInArrow(_index_batches, INDEX_SCHEMA))
+    return keep(map_arrow(narrow, _index_batches, INDEX_SCHEMA))
 
 
 @dataclass
@@ -232,11 +232,11 @@ def _count_batches(sent):
 def _pass(index: DataFrame, rows: list, window: int, slop: int | None) -> DataFrame:
     context = index.sparkSession.sparkContext
     items = _windows(rows, window)
-    counted = index.select("terms", "offsets").mapInArrow(_count_batches(context.broadcast(pickle.dumps(items.vocabulary))), "term long, n long")
+    counted = map_arrow(index.select("terms", "offsets"), _count_batches(context.broadcast(pickle.dumps(items.vocabulary))), "term long, n long")
     items.rank = np.zeros(max(1, len(items.vocabulary)), np.int64)
     for term, n in counted.groupBy("term").agg(F.sum("n")).collect():  # at most a row per word of this block's items
         items.rank[term] = n
-    return index.mapInArrow(_search_batches(context.broadcast(pickle.dumps(items)), slop), _FOUND)
+    return map_arrow(index, _search_batches(context.broadcast(pickle.dumps(items)), slop), _FOUND)
 
 
 def search(index: DataFrame, items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, slop: int | None = None) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.simhash import shingle_hashes
+from plumbline.llm.store import map_arrow
 
 PERMUTATIONS = 128
 SHINGLE = 5
@@ -107,4 +108,4 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     copies = placed.join(F.broadcast(follows), head).groupBy("into").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.first("tie").alias("tie"))
     rows = placed.select("bucket", "doc_id", "text", "tie", F.lit(0).alias("copy")).union(copies.select("into", "doc_id", "text", "tie", F.lit(1)))
     sorted_rows = rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "copy", *order)
-    return sorted_rows.select("bucket", "doc_id", "text").mapInArrow(_walk, _ROW)
+    return map_arrow(sorted_rows.select("bucket", "doc_id", "text"), _walk, _ROW)

@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.store import keep
-from plumbline.llm.tokens import WORD_BPE, encoder
+from plumbline.llm.store import keep, map_arrow
+from plumbline.llm.tokens import WORD_BPE, encoder, slices
 
 CAPACITY = 4096
 END = 1
@@ -237,7 +237,7 @@ def pack(pieces: DataFrame, order: list[str], capacity: int = CAPACITY, nodes: i
     within = F.row_number().over(Window.partitionBy("length", "salt").orderBy(*order)) - 1
     ranked = salted.join(bases, ["length", "salt"]).withColumn("rank", (within + F.col("base")).cast("long")).select(*pieces.columns, "rank")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.mapInArrow(_place_batches(sent), f"{schema}, sequence_id long, offset long")
+    return map_arrow(ranked, _place_batches(sent), f"{schema}, sequence_id long, offset long")
 
 
 def _piece_batches(name: str, end: int, capacity: int):
@@ -245,7 +245,7 @@ def _piece_batches(name: str, end: int, capacity: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, last, width = encoder(name), np.array([end], "<u4").tobytes(), 4 * capacity
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc, ids in zip(batch.column(0).to_pylist(), encode.many(batch.column(1).to_pylist()), strict=True):
                 data = ids + last
@@ -262,7 +262,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     """``(doc_id, piece, start, length, ids_crc32)``: every document's ids and its end id, cut only where longer than
     the capacity. Null and empty texts are a piece of the end id alone; a null id stays null. Written and re-read."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return keep(narrow.mapInArrow(_piece_batches(tokenizer, end, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long"))
+    return keep(map_arrow(narrow, _piece_batches(tokenizer, end, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long"))
 
 
 def pack_documents(docs: DataFrame, **options) -> DataFrame:

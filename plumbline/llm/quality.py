@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.labels import held_out, training_sample
+from plumbline.llm.store import map_arrow
 
 #: Bounds of what is gathered for training: rows of each label and characters of each text.
 PER_CLASS, CHARS = 1500, 8000
@@ -134,7 +135,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s)], names=["doc_id", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    scored = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
+    scored = map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), run, f"doc_id {kind}, score double")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -148,4 +149,4 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold:
         for batch in batches:
             yield batch.filter(pa.array(scores(own, batch.column(at).to_pylist()) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)

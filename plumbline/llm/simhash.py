@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import components
-from plumbline.llm.store import keep
+from plumbline.llm.store import keep, map_arrow
 
 SEED = 42
 SHINGLE = 4
@@ -93,7 +93,7 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id long, fp long)`` for every row; the long holds the fingerprint's 64 bits."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(_fingerprint_batches, "doc_id long, fp long")
+    return map_arrow(narrow, _fingerprint_batches, "doc_id long, fp long")
 
 
 def _choices(blocks: int, distance: int) -> list[int]:
@@ -177,7 +177,7 @@ def links(nodes: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, tile
     dealt = keyed.withColumn("s", segment).select("choice", "bits", F.explode(tiles).alias("tile"), "fp", "node")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = dealt.repartition(parts, "choice", "bits", "tile").sortWithinPartitions("choice", "bits", "tile")
-    return runs.mapInArrow(_link_batches(distance), "u long, v long")
+    return map_arrow(runs, _link_batches(distance), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:

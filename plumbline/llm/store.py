@@ -32,6 +32,19 @@ def keep(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bounds of one Arrow batch between the JVM and Python, rows and bytes: what a task holds at a time on either side.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` with bounded batches. The bounds are settings of the session and stay set: texts of any length
+    then meet in few megabytes, where the defaults gather 10,000 of them."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Remove a folder made by :func:`shared_dir`, wherever that filesystem is."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

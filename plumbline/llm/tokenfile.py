@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.store import filesystem, keep, shared_dir
-from plumbline.llm.tokens import BYTE_BPE, encoder
+from plumbline.llm.store import filesystem, keep, map_arrow, shared_dir
+from plumbline.llm.tokens import BYTE_BPE, encoder, slices
 
 END = 2
 SHARD_TOKENS = 1 << 20
@@ -62,13 +62,10 @@ def _round(seq: np.ndarray, last: np.ndarray, first_new: int, room: int) -> tupl
     # One slot a pair, found by a multiplicative hash; of pairs that share a slot the most frequent one counts now.
     slot_of = lambda k: (k * np.uint32(2654435761)) >> np.uint32(14)
     none = len(chosen)
-    rank_at = np.full(_SLOTS, none, np.int32)
-    key_at = np.zeros(_SLOTS, np.uint32)
-    slots = slot_of(chosen)[::-1]
-    rank_at[slots] = np.arange(none - 1, -1, -1)
-    key_at[slots] = chosen[::-1]
-    at = slot_of(keys)
-    rank = np.where((key_at[at] == keys) & inside, rank_at[at], none).astype(np.int32)
+    table = np.full(_SLOTS, none, np.uint64)  # pair << 32 | rank
+    table[slot_of(chosen)[::-1]] = (chosen[::-1].astype(np.uint64) << np.uint64(32)) | np.arange(none - 1, -1, -1, dtype=np.uint64)
+    entry = table[slot_of(keys)]
+    rank = np.where(((entry >> np.uint64(32)) == keys) & inside, entry.astype(np.uint32), np.uint32(none)).astype(np.int32)
     take = rank < none
     again = np.flatnonzero(take[1:] & (rank[1:] == rank[:-1])) + 1  # one symbol repeated: its pair overlaps itself
     take[1:] &= rank[1:] < rank[:-1]
@@ -142,39 +139,26 @@ class Shard:
         self.doc_ids, self.firsts, self.tokens, self.symbols = take("<i8", d), take("<i8", d + 1), take("<i8", d + 1), take("<u2", m)
         self._pool: np.ndarray | None = None
 
-    def _expansions(self) -> tuple[np.ndarray, np.ndarray]:
-        """All nonterminals' expansions in one array, and where each begins; rules only refer to earlier ones."""
+    def _expansions(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Every symbol's expansion in one array, with its length and place; rules only refer to earlier symbols."""
         if self._pool is None:
-            self._begin = np.concatenate([[0], np.cumsum(self.grown)]).astype(np.int64)
-            pool = np.empty(int(self._begin[-1]), np.uint16)
-            for i, (a, b) in enumerate(zip(self.left.tolist(), self.right.tolist(), strict=True)):
-                at = int(self._begin[i])
-                for s in (a, b):
-                    if s < self.base:
-                        pool[at] = s
-                        at += 1
-                    else:
-                        f = int(self._begin[s - self.base])
-                        n = int(self.grown[s - self.base])
-                        pool[at : at + n] = pool[f : f + n]
-                        at += n
+            self._size = np.concatenate([np.ones(self.base, np.int64), self.grown])
+            self._begin = np.cumsum(self._size) - self._size
+            pool = np.empty(int(self._size.sum()), np.uint16)
+            pool[: self.base] = np.arange(self.base)
+            size, begin = self._size.tolist(), self._begin.tolist()
+            for i, (a, b) in enumerate(zip(self.left.tolist(), self.right.tolist(), strict=True), self.base):
+                at, n = begin[i], size[a]
+                pool[at : at + n] = pool[begin[a] : begin[a] + n]
+                pool[at + n : at + size[i]] = pool[begin[b] : begin[b] + size[b]]
             self._pool = pool
-        return self._pool, self._begin
+        return self._pool, self._size, self._begin
 
     def _decode(self, symbols: np.ndarray) -> np.ndarray:
-        pool, begin = self._expansions()
-        s = symbols.astype(np.int64)
-        rule = s >= self.base
-        size = np.ones(len(s), np.int64)
-        size[rule] = self.grown[s[rule] - self.base]
-        out_at = np.cumsum(size) - size
-        out = np.empty(int(size.sum()), "<u4")
-        out[out_at[~rule]] = s[~rule]
-        k = s[rule] - self.base
-        n = size[rule]
-        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        out[np.repeat(out_at[rule], n) + within] = pool[np.repeat(begin[k], n) + within]
-        return out
+        pool, size, begin = self._expansions()
+        n = size[symbols]
+        shift = begin[symbols] - (np.cumsum(n) - n)
+        return pool[np.repeat(shift, n) + np.arange(int(n.sum()))].astype("<u4")
 
     def all(self) -> np.ndarray:
         return self._decode(self.symbols)
@@ -208,7 +192,7 @@ def _write_batches(folder: str, name: str, end: int, base: int, shard_tokens: in
             shard, docs, data, size = shard + 1, [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc, ids in zip(batch.column(0).to_pylist(), encode.many(batch.column(1).to_pylist()), strict=True):
                 docs.append(doc)
                 data.append(ids + last)
@@ -230,7 +214,7 @@ def write(docs: DataFrame, folder: str | None = None, id_col: str = "doc_id", te
     folder = folder or shared_dir(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ordered = narrow.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    return keep(ordered.mapInArrow(_write_batches(folder, tokenizer, end, base, shard_tokens), _MANIFEST))
+    return keep(map_arrow(ordered, _write_batches(folder, tokenizer, end, base, shard_tokens), _MANIFEST))
 
 
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,4 +236,4 @@ def read(manifest: DataFrame) -> DataFrame:
     before = Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     based = manifest.select("path", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
     tasks = max(1, min(manifest.count(), int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    return based.repartition(tasks).mapInArrow(_read_batches, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_arrow(based.repartition(tasks), _read_batches, "doc_id long, start long, n_tokens long, ids_crc32 long")

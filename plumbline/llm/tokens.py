@@ -14,6 +14,7 @@ import functools
 import os
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,11 @@ WORD_BPE = "word_bpe_49k.json"
 _UNSURE = re.compile("[^\\x01-\\x1b\\x20-&(-\u024f\u0370-\u03ff\u0400-\u045f\u2010-\u2027\u2030-\u205e\u20ac\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5]|\u0130")
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u2028\u2029"
 #: Pieces in each of the two generations of the memory, and the longest piece kept.
-MEMORY, LONGEST = 400_000, 48
+MEMORY, LONGEST = 250_000, 48
 #: Characters of text whose new pieces go to the library together.
-TOGETHER = 3 << 20
+TOGETHER = 1 << 20
+#: Pieces that make one text of the library.
+JOINED = 200
 
 
 def tokenizer_path(name: str) -> str:
@@ -95,32 +98,45 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _fresh(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces, joined for one call of the library; pieces of white space go one by one."""
+        """Ids of pieces, some hundreds joined for one text of the library (whose time a piece grows with the text's
+        length); pieces of white space go one by one."""
         joined = [p for p in pieces if not p.isspace()]
         found: dict[str, bytes] = {}
-        if len(joined) > 1:
-            e = self.tokenizer.encode(self.between.join(joined), add_special_tokens=False)
+        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
+        for group in groups:
+            e = self.tokenizer.encode(self.between.join(group), add_special_tokens=False)
             words = np.array(e.word_ids, np.int64)
-            if len(words) and words[-1] == self.stride * (len(joined) - 1):
+            if len(words) and words[-1] == self.stride * (len(group) - 1):
                 data = np.array(e.ids, "<u4").tobytes()
-                wanted = self.stride * np.arange(len(joined))
-                at, to = np.searchsorted(words, wanted) * 4, np.searchsorted(words, wanted, "right") * 4
-                found = {p: data[i:j] for p, i, j in zip(joined, at.tolist(), to.tolist(), strict=True)}
+                wanted = self.stride * np.arange(len(group) + 1)
+                cuts = (np.searchsorted(words, wanted) * 4).tolist()
+                ends = cuts[1:] if self.stride == 1 else (np.searchsorted(words, wanted[:-1], "right") * 4).tolist()
+                found.update((p, data[i:j]) for p, i, j in zip(group, cuts, ends, strict=False))
         rest = [p for p in pieces if p not in found]
         found.update(zip(rest, self.whole(rest), strict=True))
         return found
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        """Ids of different pieces, from memory as far as it has them."""
+        """Ids of different pieces, from memory as far as it has them; what isn't text has none."""
+        if len(self.known) > MEMORY:
+            self.old, self.known = self.known, {}
         known, old = self.known, self.old
-        if len(known) > MEMORY:
-            self.old, self.known = known, {}
-            known, old = self.known, self.old
-        missing = [p for p in pieces if p not in known]
-        known.update((p, old[p]) for p in missing if p in old)
-        fresh = self._fresh([p for p in missing if p not in known])
-        known.update((p, v) for p, v in fresh.items() if len(p) <= LONGEST)
-        return [known[p] if p in known else fresh[p] for p in pieces]
+        data = list(map(known.get, pieces))
+        new = []
+        for i in [i for i, d in enumerate(data) if d is None]:
+            p = pieces[i]
+            d = b"" if p == "\0" or (self.stride == 1 and p.isspace()) else old.get(p)
+            if d is None:
+                new.append(i)
+            else:
+                data[i] = known[p] = d
+        fresh = self._fresh([pieces[i] for i in new])
+        for i in new:
+            p = pieces[i]
+            data[i] = fresh[p]
+            if len(p) <= LONGEST:
+                known[p] = fresh[p]
+        return data
 
     def many(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text, in order."""
@@ -163,23 +179,26 @@ class Encoder:
         offsets = np.concatenate([[0], ends[place[1:] - 1], ends[-1:]]).astype(np.int32)
         pieces = pa.StringArray.from_buffers(len(place), pa.py_buffer(offsets), pa.py_buffer(line.encode()))
         coded = pieces.dictionary_encode()
-        different = coded.dictionary.to_pylist()
-        skip = {"\0"} if self.stride == 2 else None
-        wanted = [p for p in different if p != "\0" and (skip or not p.isspace())]
-        found = dict(zip(wanted, self._ids(wanted), strict=True))
-        data = [found.get(p, b"") for p in different]
+        data = self._ids(coded.dictionary.to_pylist())
         pool = np.frombuffer(b"".join(data), "<u4")
-        size = np.fromiter(map(len, data), np.int64, len(data)) // 4
-        begin = np.cumsum(size) - size
+        size = np.fromiter(map(len, data), np.int32, len(data)) // 4
+        begin = np.cumsum(size, dtype=np.int32) - size
         which = coded.indices.to_numpy()
         n = size[which]
-        to = np.cumsum(n)
-        ids = pool[np.repeat(begin[which] - (to - n), n) + np.arange(int(to[-1]))]
+        to = np.cumsum(n, dtype=np.int32)  # TOGETHER bounds all of these
+        ids = pool[np.repeat(begin[which] - (to - n), n) + np.arange(int(to[-1]), dtype=np.int32)]
         raw = ids.tobytes()
-        last = (to[np.flatnonzero(kind[place] == _END)] * 4).tolist()  # every text ends with its 0
+        last = (to[np.flatnonzero(kind[place] == _END)].astype(np.int64) * 4).tolist()  # every text ends with its 0
         return [raw[a:b] for a, b in zip([0, *last], last, strict=False)]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, so that few texts and ids are held as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 _encoders: dict[str, Encoder] = {}
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.labels import held_out, training_sample
+from plumbline.llm.store import map_arrow
 
 #: Bounds of what is gathered for training: rows of each combination of labels and characters of each text.
 PER_CLASS, CHARS = 3000, 8000
@@ -178,5 +179,5 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
 
     kind = docs.schema[id_col].dataType.simpleString()
     columns = "".join(f", p_{n} double" for n in chain.names)
-    out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}{columns}")
+    out = map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), run, f"doc_id {kind}{columns}")
     return out.select("doc_id", held_out("doc_id").alias("held_out"), *(f"p_{n}" for n in chain.names))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.store import filesystem, keep, shared_dir
+from plumbline.llm.store import filesystem, keep, map_arrow, shared_dir
 
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 32 << 20
@@ -198,7 +198,7 @@ def write(pages: DataFrame, folder: str | None = None, archive_bytes: int = ARCH
     sample = [record(r["page_id"], r["url"], r["text"].encode("utf-8", "surrogatepass"), r["digest"], r["size"]) for r in picked.select("page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("text"), "digest", "size").collect()]
     sent = spark.sparkContext.broadcast(train(sample))
     columns = settled.select("page_id", "url", F.when(~F.col("revisit"), F.col("html")).alias("html"), "digest", "size", "refers_to", "revisit")
-    return keep(columns.mapInArrow(_write_batches(folder, sent, archive_bytes), _MANIFEST))
+    return keep(map_arrow(columns, _write_batches(folder, sent, archive_bytes), _MANIFEST))
 
 
 _RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, archive string, offset long"
@@ -226,4 +226,4 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def read(manifest: DataFrame) -> DataFrame:
     """Every record of the archives that a manifest names; each payload is checked against its digest."""
     tasks = max(1, min(manifest.count(), int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    return manifest.select("path").repartition(tasks).mapInArrow(_read_batches, _RECORD)
+    return map_arrow(manifest.select("path").repartition(tasks), _read_batches, _RECORD)
