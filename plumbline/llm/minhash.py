@@ -5,6 +5,11 @@ whole sequence; none: no shingle). Each shingle's XXH64 goes through ``PERMUTATI
 with odd a (multiply-shift), and a text keeps each map's least value. The share of equal places of two fingerprints
 estimates the Jaccard likeness of their shingle sets. A text without shingles has the highest value everywhere: it is
 like another such text and unlike any other.
+
+``near_duplicates`` cuts signatures into 25 bands of five places. Texts (equal ones count once) that share a band meet
+in Spark, and their true Jaccard likeness over all shingles is computed; at 0.8 a pair misses all bands with a chance
+of one in twenty thousand. Bands that gather the same texts as another band are left out. A bucket is searched breadth
+first in a sorted partition and gives a spanning forest of its verified links; large ones are cut into tiles.
 """
 
 from __future__ import annotations
@@ -17,13 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.components import components
 from plumbline.llm.simhash import shingle_hashes
-from plumbline.llm.store import map_arrow
+from plumbline.llm.store import keep, map_arrow
 
 PERMUTATIONS = 128
 SHINGLE = 5
 SEED = 20_011
 _CHUNK = 2048
+BANDS, BAND_ROWS = 25, 5
+LIKE = 0.8
+TILE = 256
 
 
 def _maps(n: int = PERMUTATIONS) -> tuple[np.ndarray, np.ndarray]:
@@ -109,3 +118,94 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = placed.select("bucket", "doc_id", "text", "tie", F.lit(0).alias("copy")).union(copies.select("into", "doc_id", "text", "tie", F.lit(1)))
     sorted_rows = rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "copy", *order)
     return map_arrow(sorted_rows.select("bucket", "doc_id", "text"), _walk, _ROW)
+
+
+def _band_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    maps = _maps()
+    for batch in batches:
+        bands, sets = [], []
+        for text in batch.column(1).to_pylist():
+            sig = signature(text, maps)[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS).astype(np.uint64)
+            mixed = np.zeros(BANDS, np.uint64)
+            for k in range(BAND_ROWS):
+                mixed = (mixed ^ sig[:, k]) * np.uint64(0x9E3779B97F4A7C15)
+                mixed ^= mixed >> np.uint64(29)
+            bands.append(mixed.view(np.int64))
+            sets.append(np.unique(shingle_hashes(text, SHINGLE)).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bands, pa.list_(pa.int64())), pa.array(sets, pa.binary())], names=["node", "bands", "shingles"])
+
+
+def jaccard(x: np.ndarray, y: np.ndarray) -> float:
+    """Of two sorted sets of hashes; two empty sets are alike."""
+    if not len(x) or not len(y):
+        return float(len(x) == len(y))
+    shared = np.count_nonzero(x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y)
+    return shared / (len(x) + len(y) - shared)
+
+
+def _verified(nodes: list[int], sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """Spanning forest of the links of one bucket."""
+    sizes = np.array([len(s) for s in sets])
+    out, left = [], np.arange(len(nodes))
+    while len(left) > 1:
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            u = queue.pop()
+            # Sizes that differ by more than the likeness allows can't be alike.
+            maybe = np.minimum(sizes[left], sizes[u]) >= least * np.maximum(sizes[left], sizes[u])
+            near = np.array([bool(m) and jaccard(sets[u], sets[v]) >= least for m, v in zip(maybe, left, strict=True)])
+            found = left[near]
+            out += [(nodes[u], nodes[v]) for v in found]
+            queue += found.tolist()
+            left = left[~near]
+    return out
+
+
+def _bucket_batches(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, nodes, sets = None, [], []
+
+        def links() -> pa.RecordBatch:
+            pairs = _verified(nodes, sets, least)
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            keys = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
+            for key, node, data in zip(keys, batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                if key != now:
+                    if len(nodes) > 1:
+                        yield links()
+                    now, nodes, sets = key, [], []
+                nodes.append(node)
+                sets.append(np.frombuffer(data, np.uint64))
+        if len(nodes) > 1:
+            yield links()
+
+    return run
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LIKE, tile: int = TILE) -> DataFrame:
+    """``(doc_id, class_id, n_links)`` for every row: class_id is the same for documents that links connect.
+
+    A link is a Jaccard likeness of at least ``least`` over five-word shingles; class_id is the least doc_id of the
+    class (null where all its ids are null). n_links counts the class's other texts that were linked on the way, that
+    is the class's distinct texts less one. Null and empty texts form one class. Other columns are not read.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
+    texts = rows.groupBy("node").agg(F.first("text").alias("text"))
+    marked = keep(map_arrow(texts, _band_batches, "node long, bands array<long>, shingles binary"))
+    banded = marked.select("node", F.posexplode("bands").alias("band", "key"))
+    buckets = banded.groupBy("band", "key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("what")).where("n > 1")
+    once = buckets.groupBy("n", "what").agg(F.min(F.struct("band", "key")).alias("b")).select("b.band", "b.key", F.ceil(F.col("n") / tile).cast("int").alias("g"))
+    chosen = banded.join(once, ["band", "key"]).withColumn("s", F.pmod(F.xxhash64("node", "band"), F.col("g")).cast("int"))
+    tiles = F.transform(F.sequence(F.lit(0), F.col("g") - 1), lambda j: F.least(j, F.col("s")) * F.col("g") + F.greatest(j, F.col("s")))
+    dealt = chosen.withColumn("tile", F.explode(tiles)).join(marked.select("node", "shingles"), "node")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = dealt.select("band", "key", "tile", "node", "shingles").repartition(parts, "band", "key", "tile").sortWithinPartitions("band", "key", "tile")
+    found = keep(components(map_arrow(runs, _bucket_batches(least), "u long, v long")))
+    classes = marked.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("root"))
+    sizes = classes.groupBy("root").agg((F.count("*") - 1).alias("n_links"))
+    ids = rows.select("doc_id", "node").join(classes, "node")
+    least_id = ids.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    named = keep(classes.join(sizes, "root").join(least_id, "root").select("node", "class_id", "n_links"))
+    return rows.select("doc_id", "node").join(named, "node").select("doc_id", "class_id", "n_links")

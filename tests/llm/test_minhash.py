@@ -69,3 +69,38 @@ def test_estimate():
         true = len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
         assert abs(m.likeness(m.signature(a, m._maps()), m.signature(b, m._maps())) - true) < 0.15
     assert np.array_equal(m.signature("A b", m._maps()), m.signature("a  B", m._maps()))
+
+
+@pytest.mark.parametrize("tile", [256, 3])
+def test_near_duplicates_brute_force(spark, tile):
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(500)}" for _ in range(120)]
+    rows = [(0, None), (1, ""), (2, "one two"), (3, "ONE two")]
+    for i in range(10, 70):
+        words = list(base) if i < 50 else [f"x{rng.randrange(500)}" for _ in range(40)]
+        for _ in range(rng.randrange(5)):
+            words[rng.randrange(len(words))] = f"y{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    rows += [(200, rows[10][1]), (201, rows[10][1]), (5, rows[-1][1])]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    sets = [shingles(t or "") for _, t in rows]
+    for i in range(len(rows)):
+        for j in range(i):
+            union = sets[i] | sets[j]
+            if (len(sets[i] & sets[j]) / len(union) if union else 1) >= 0.8:
+                parent[find(i)] = find(j)
+    least, texts = {}, {}
+    for i, (d, t) in enumerate(rows):
+        r = find(i)
+        least[r] = min(least.get(r, d), d)
+        texts.setdefault(r, set()).add(t or "")
+    docs = spark.createDataFrame([(*r, 1, 1) for r in rows], DOCS).repartition(3)
+    got = sorted(map(tuple, m.near_duplicates(docs, tile=tile).collect()))
+    assert got == sorted((d, least[find(i)], len(texts[find(i)]) - 1) for i, (d, _) in enumerate(rows))
+    assert m.near_duplicates(docs.limit(0)).collect() == []
