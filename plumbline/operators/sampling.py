@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Episodes that are summed in one task when places in a stream are worked out.
+BLOCK = 4096
+
 
 def draw(seed: int | str | Column, *keys: Column) -> Column:
     """A hash as text: sorts like a random number."""
@@ -109,8 +112,12 @@ def stream_schedule(frames: DataFrame, batch_size: int, rank: int = 0, world: in
     own = number_episodes(frames, keys, seed + epoch).where(F.pmod(F.col("place"), F.lit(world)) == rank).withColumn("e", F.floor(F.col("place") / world).cast("long")).drop("place")
     sizes = frames.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).join(own, list(keys))
     lane = F.pmod(F.col("e"), F.lit(batch_size)).cast("int") if parallel else F.lit(0)
-    before = Window.partitionBy("slot").orderBy("e").rowsBetween(Window.unboundedPreceding, -1)  # one row per episode
-    based = sizes.withColumn("slot", lane).withColumn("__base", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    # Where an episode begins: frames of earlier blocks of episodes, and of earlier episodes of its own block.
+    sized = sizes.withColumns({"slot": lane, "__k": F.floor(F.col("e") / BLOCK).cast("long")})
+    ahead = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = sized.groupBy("slot", "__k").agg(F.sum("__n").alias("__s")).withColumn("__before", F.coalesce(F.sum("__s").over(ahead("slot").orderBy("__k")), F.lit(0))).drop("__s")
+    own_part = F.coalesce(F.sum("__n").over(ahead("slot", "__k").orderBy("e")), F.lit(0))
+    based = sized.withColumn("__own", own_part).join(blocks, ["slot", "__k"]).withColumn("__base", F.col("__before") + F.col("__own")).drop("__k", "__before", "__own")
     inner = F.row_number().over(Window.partitionBy(*keys).orderBy(index)) - 1
     rows = frames.withColumn("__i", inner).join(based.drop("__n", "e"), list(keys)).withColumn("__g", F.col("__base") + F.col("__i"))
     if parallel:
