@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.store import keep, map_arrow
-from plumbline.llm.tokens import WORD_BPE, encoder, slices
+from plumbline.llm.tokens import WORD_BPE, encoder, gathered
 
 CAPACITY = 4096
 END = 1
@@ -245,9 +245,9 @@ def _piece_batches(name: str, end: int, capacity: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, last, width = encoder(name), np.array([end], "<u4").tobytes(), 4 * capacity
-        for batch in slices(batches):
+        for docs, texts in gathered(batches):
             rows = []
-            for doc, ids in zip(batch.column(0).to_pylist(), encode.many(batch.column(1).to_pylist()), strict=True):
+            for doc, ids in zip(docs, encode.many(texts), strict=True):
                 data = ids + last
                 for p, at in enumerate(range(0, len(data), width)):
                     part = data[at : at + width]

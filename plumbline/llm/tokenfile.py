@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.store import filesystem, keep, map_arrow, shared_dir
-from plumbline.llm.tokens import BYTE_BPE, encoder, slices
+from plumbline.llm.tokens import BYTE_BPE, encoder, gathered
 
 END = 2
 SHARD_TOKENS = 1 << 20
@@ -192,8 +192,8 @@ def _write_batches(folder: str, name: str, end: int, base: int, shard_tokens: in
             shard, docs, data, size = shard + 1, [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
-        for batch in slices(batches):
-            for doc, ids in zip(batch.column(0).to_pylist(), encode.many(batch.column(1).to_pylist()), strict=True):
+        for keys, texts in gathered(batches):
+            for doc, ids in zip(keys, encode.many(texts), strict=True):
                 docs.append(doc)
                 data.append(ids + last)
                 size += len(data[-1]) // 4

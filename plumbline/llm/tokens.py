@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -21,12 +20,12 @@ import pyarrow as pa
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-_UNSURE = re.compile("[^\\x01-\\x1b\\x20-&(-\u024f\u0370-\u03ff\u0400-\u045f\u2010-\u2027\u2030-\u205e\u20ac\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5]|\u0130")
+_SURE = ((0x80, 0x24F), (0x370, 0x3FF), (0x400, 0x45F), (0x2010, 0x2027), (0x2030, 0x205E), (0x20AC, 0x20AC), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FA5))
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u2028\u2029"
 #: Pieces in each of the two generations of the memory, and the longest piece kept.
 MEMORY, LONGEST = 250_000, 48
 #: Characters of text whose new pieces go to the library together.
-TOGETHER = 1 << 20
+TOGETHER = 5 << 20
 #: Pieces that make one text of the library.
 JOINED = 200
 
@@ -40,36 +39,62 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-_END, _LETTER, _NUMBER, _OTHER, _WHITE = range(5)
+_END, _LETTER, _NUMBER, _OTHER, _WHITE, _UNSURE = range(6)
 
 
 @functools.cache
-def _classes() -> tuple[np.ndarray, np.ndarray]:
-    """Class and UTF-8 length of every 16-bit character; 0 stands between texts."""
-    kinds = np.full(1 << 16, _OTHER, np.uint8)
-    for c in range(1 << 16):
-        first = unicodedata.category(chr(c))[0]
-        kinds[c] = _LETTER if first == "L" else _NUMBER if first == "N" else _OTHER
+def _classes() -> tuple[bytes, np.ndarray]:
+    """Classes of the ASCII bytes, as a translation table, and of all 16-bit characters; 0 stands between texts."""
+    kinds = np.full(1 << 16, _UNSURE, np.uint8)
+    for first, last in ((1, 0x1B), (0x20, 0x7F), *_SURE):
+        for c in range(first, last + 1):
+            group = unicodedata.category(chr(c))[0]
+            kinds[c] = _LETTER if group == "L" else _NUMBER if group == "N" else _OTHER
     kinds[[ord(c) for c in _SPACE]] = _WHITE
+    kinds[[ord("'"), 0x130]] = _UNSURE
     kinds[0] = _END
-    code = np.arange(1 << 16)
-    return kinds, (1 + (code >= 0x80) + (code >= 0x800)).astype(np.uint8)
-
-
-def _starts_bytes(kind: np.ndarray, code: np.ndarray) -> np.ndarray:
+    return kinds[:256].tobytes(), kinds
+
+
+def _kinds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(class of every byte of UTF-8 text, places of bytes that continue a character); all bytes of a character have
+    its class."""
+    table, kinds = _classes()
+    kind = np.frombuffer(bytearray(data.translate(table)), np.uint8)
+    raw = np.frombuffer(data, np.uint8)
+    high = np.flatnonzero(raw >= 0x80)
+    more = high[raw[high] < 0xC0]
+    lead = high[raw[high] >= 0xC0]
+    if len(lead):
+        b = raw[lead].astype(np.int32)
+        at = lambda k: raw[np.minimum(lead + k, len(raw) - 1)].astype(np.int32) & 0x3F
+        two, three = b < 0xE0, (b >= 0xE0) & (b < 0xF0)
+        code = np.where(two, (b & 0x1F) << 6 | at(1), np.where(three, (b & 0x0F) << 12 | at(1) << 6 | at(2), 0xFFFF))
+        of = kinds[code]
+        kind[lead] = of
+        kind[lead + 1] = of
+        kind[lead[~two] + 2] = of[~two]
+        four = ~two & ~three
+        kind[lead[four] + 3] = of[four]
+    return kind, more
+
+
+def _starts_bytes(kind: np.ndarray, raw: np.ndarray) -> np.ndarray:
     """Where pieces begin: runs of letters, of numbers and of others, each with one space before it; of a run of white
     space before such a piece, all but the last character, and that one by itself unless it is the space."""
     before, here = kind[:-1], kind[1:]
-    change = before != here
-    start = np.concatenate([[True], change])
-    word = (here != _WHITE) & (here != _END) & (before == _WHITE)
-    at = np.flatnonzero(word)
-    start[at] = True  # the last white character begins a piece, alone or with what follows
-    start[at[code[at] == 32] + 1] = False
+    start = np.concatenate([[True], before != here])
+    at = np.flatnonzero((before == _WHITE) & (here != _WHITE) & (here != _END))
+    start[at[raw[at] == 32] + 1] = False
+    # The last white character begins a piece, alone or with what follows; it may have several bytes.
+    while len(at):
+        again = (raw[at] & 0xC0) == 0x80
+        start[at[~again]] = True
+        at = at[again] - 1
     return start
 
 
-def _starts_words(kind: np.ndarray, code: np.ndarray) -> np.ndarray:
+def _starts_words(kind: np.ndarray, raw: np.ndarray) -> np.ndarray:
     """Where pieces begin: runs of letters and of others, single numbers; white space is dropped later."""
     return np.concatenate([[True], (kind[:-1] != kind[1:]) | (kind[1:] == _NUMBER)])
 
@@ -91,32 +116,33 @@ class Encoder:
         self.starts = {BYTE_BPE: _starts_bytes, WORD_BPE: _starts_words}.get(base)
         # What keeps joined pieces apart: a line feed is a piece of its own, or white space that is dropped.
         self.between, self.stride = ("\n", 2) if base == BYTE_BPE else (" ", 1)
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _fresh(self, pieces: list[str]) -> dict[str, bytes]:
+    def _fresh(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces, some hundreds joined for one text of the library (whose time a piece grows with the text's
         length); pieces of white space go one by one."""
-        joined = [p for p in pieces if not p.isspace()]
-        found: dict[str, bytes] = {}
-        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
-        for group in groups:
-            e = self.tokenizer.encode(self.between.join(group), add_special_tokens=False)
+        out: list[bytes | None] = [None] * len(pieces)
+        joined = [i for i, p in enumerate(pieces) if not p.isspace()]
+        for a in range(0, len(joined), JOINED):
+            group = joined[a : a + JOINED]
+            e = self.tokenizer.encode(self.between.join([pieces[i] for i in group]), add_special_tokens=False)
             words = np.array(e.word_ids, np.int64)
             if len(words) and words[-1] == self.stride * (len(group) - 1):
                 data = np.array(e.ids, "<u4").tobytes()
-                wanted = self.stride * np.arange(len(group) + 1)
-                cuts = (np.searchsorted(words, wanted) * 4).tolist()
-                ends = cuts[1:] if self.stride == 1 else (np.searchsorted(words, wanted[:-1], "right") * 4).tolist()
-                found.update((p, data[i:j]) for p, i, j in zip(group, cuts, ends, strict=False))
-        rest = [p for p in pieces if p not in found]
-        found.update(zip(rest, self.whole(rest), strict=True))
-        return found
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
+                wanted = self.stride * np.arange(len(group))
+                at, to = np.searchsorted(words, wanted) * 4, np.searchsorted(words, wanted, "right") * 4
+                for i, j, k in zip(group, at.tolist(), to.tolist(), strict=True):
+                    out[i] = data[j:k]
+        rest = [i for i, d in enumerate(out) if d is None]
+        for i, d in zip(rest, self.whole([pieces[i] for i in rest]), strict=True):
+            out[i] = d
+        return out
+
+    def _ids(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of different pieces, from memory as far as it has them; what isn't text has none."""
         if len(self.known) > MEMORY:
             self.old, self.known = self.known, {}
@@ -125,17 +151,20 @@ class Encoder:
         new = []
         for i in [i for i, d in enumerate(data) if d is None]:
             p = pieces[i]
-            d = b"" if p == "\0" or (self.stride == 1 and p.isspace()) else old.get(p)
-            if d is None:
-                new.append(i)
-            else:
+            d = old.get(p)
+            if d is not None:
                 data[i] = known[p] = d
-        fresh = self._fresh([pieces[i] for i in new])
-        for i in new:
-            p = pieces[i]
-            data[i] = fresh[p]
-            if len(p) <= LONGEST:
-                known[p] = fresh[p]
+            elif p == b"\0":
+                data[i] = b""
+            else:
+                new.append(i)
+        texts = [pieces[i].decode("utf-8", "surrogatepass") for i in new]
+        if self.stride == 1:
+            texts = ["" if t.isspace() else t for t in texts]  # dropped white space
+        for i, d in zip(new, self._fresh(texts), strict=True):
+            data[i] = d
+            if len(pieces[i]) <= LONGEST:
+                known[pieces[i]] = d
         return data
 
     def many(self, texts: list[str | None]) -> list[bytes]:
@@ -156,29 +185,32 @@ class Encoder:
 
     def _some(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        sure = []
-        for i, t in enumerate(texts):
-            if not t:
-                continue
-            if self.starts and not _UNSURE.search(t) and unicodedata.is_normalized("NFC", t):
-                sure.append(i)
-            else:
-                out[i] = self.whole([t])[0]
-        if sure:
-            for i, ids in zip(sure, self._split([texts[i] for i in sure]), strict=True):
+        split = [i for i, t in enumerate(texts) if t and self.starts and "\0" not in t and unicodedata.is_normalized("NFC", t)]
+        unsure = set(range(len(texts))) - set(split)
+        if split:
+            made, doubtful = self._split([texts[i] for i in split])
+            for i, ids in zip(split, made, strict=True):
                 out[i] = ids
+            unsure |= {split[k] for k in doubtful}
+        for i in unsure:
+            if texts[i]:
+                out[i] = self.whole([texts[i]])[0]
         return out
 
-    def _split(self, texts: list[str]) -> list[bytes]:
-        line = "\0".join(texts) + "\0"
-        code = np.frombuffer(line.encode("utf-32-le"), np.uint32)
-        kinds, sizes = _classes()
-        kind = kinds[code]
-        place = np.flatnonzero(self.starts(kind, code))
-        ends = np.cumsum(sizes[code], dtype=np.int32)  # of each character, in UTF-8
-        offsets = np.concatenate([[0], ends[place[1:] - 1], ends[-1:]]).astype(np.int32)
-        pieces = pa.StringArray.from_buffers(len(place), pa.py_buffer(offsets), pa.py_buffer(line.encode()))
-        coded = pieces.dictionary_encode()
+    def _split(self, texts: list[str]) -> tuple[list[bytes], list[int]]:
+        """(ids of every text, places of texts with characters that are not sure, whose ids don't count)."""
+        line = ("\0".join(texts) + "\0").encode("utf-8", "surrogatepass")
+        kind, more = _kinds(line)
+        start = self.starts(kind, np.frombuffer(line, np.uint8))
+        start[more] = False
+        place = np.flatnonzero(start)
+        bounds = np.flatnonzero(kind == _END)  # every text ends with its 0, a piece of its own
+        doubtful = np.unique(np.searchsorted(bounds, np.flatnonzero(kind == _UNSURE))).tolist()
+        offsets = np.append(place, len(line)).astype(np.int32)
+        binary = pa.BinaryArray.from_buffers(pa.binary(), len(place), [None, pa.py_buffer(offsets), pa.py_buffer(line)])
+        coded = binary.dictionary_encode()
+        last = np.searchsorted(place, bounds)
+        del kind, start, place, more
         data = self._ids(coded.dictionary.to_pylist())
         pool = np.frombuffer(b"".join(data), "<u4")
         size = np.fromiter(map(len, data), np.int32, len(data)) // 4
@@ -186,17 +218,24 @@ class Encoder:
         which = coded.indices.to_numpy()
         n = size[which]
         to = np.cumsum(n, dtype=np.int32)  # TOGETHER bounds all of these
-        ids = pool[np.repeat(begin[which] - (to - n), n) + np.arange(int(to[-1]), dtype=np.int32)]
-        raw = ids.tobytes()
-        last = (to[np.flatnonzero(kind[place] == _END)].astype(np.int64) * 4).tolist()  # every text ends with its 0
-        return [raw[a:b] for a, b in zip([0, *last], last, strict=False)]
+        raw = pool[np.repeat(begin[which] - (to - n), n) + np.arange(int(to[-1]), dtype=np.int32)].tobytes()
+        ends = (to[last].astype(np.int64) * 4).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], doubtful
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Batches of at most ``rows`` rows, so that few texts and ids are held as Python objects at a time."""
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str | None]]]:
+    """(ids, texts) of a two-column stream, as many rows at a time as make TOGETHER characters."""
+    ids, texts, size = [], [], 0
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            ids.append(doc)
+            texts.append(text)
+            size += len(text or "")
+            if size >= TOGETHER:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
 
 
 _encoders: dict[str, Encoder] = {}
