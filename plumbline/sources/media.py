@@ -103,3 +103,8 @@ def fit_padding(width: Column, height: Column, target_width: int, target_height:
     ratio = F.least(F.lit(float(target_width)) / width, F.lit(float(target_height)) / height)
     w, h = F.bround(width * ratio, 0).cast("int"), F.bround(height * ratio, 0).cast("int")
     return F.struct(w.alias("width"), h.alias("height"), F.floor((F.lit(target_width) - w) / 2).cast("int").alias("left"), F.floor((F.lit(target_height) - h) / 2).cast("int").alias("top"))
+
+
+def image_path(root: str, run: Column, step: Column, view: Column) -> Column:
+    """Where a request's image is kept for inspection: ``root/run/step_view.png``."""
+    return F.concat_ws("/", F.lit(root.rstrip("/")), run.cast("string"), F.concat(step.cast("string"), F.lit("_"), view.cast("string"), F.lit(".png")))

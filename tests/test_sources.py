@@ -98,3 +98,14 @@ def test_media(spark, tmp_path):
     one = spark.range(1)
     urls = one.select(*(media.join_url(F.lit(p), F.lit(u)).alias(f"c{i}") for i, (p, u) in enumerate([("/d/", "x"), ("/d", "/abs"), ("/d", "s3://b/x"), ("", "x")]))).first()
     assert list(urls) == ["/d/x", "/abs", "s3://b/x", "x"]
+
+
+def test_builtin_catalog(spark):
+    from plumbline.sources.seeds import builtin
+
+    entries = builtin("/d").entries
+    assert len(entries) == 5 + 1 + 1 + 5 + 50
+    assert entries["maniskill_pickcube"]["annotations"] == "/d/maniskill/jsonl/PickCube-v0"
+    assert entries["robotwin2_turn_switch"]["meta"]["non_delta_mask"] == [6, 13]
+    path = spark.range(1).select(media.image_path("/out/", F.lit(2), F.lit(0), F.lit(1)).alias("p")).first().p
+    assert path == "/out/2/0_1.png"
