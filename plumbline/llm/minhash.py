@@ -116,7 +116,8 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     head = (placed["bucket"] == follows["of"]) & (placed["tie"] == follows["t"]) & (-placed["doc_id"]).eqNullSafe(follows["o"])
     copies = placed.join(F.broadcast(follows), head).groupBy("into").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.first("tie").alias("tie"))
     rows = placed.select("bucket", "doc_id", "text", "tie", F.lit(0).alias("copy")).union(copies.select("into", "doc_id", "text", "tie", F.lit(1)))
-    sorted_rows = rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "copy", *order)
+    # One bucket a partition: hashing the numbers would put several of them into some.
+    sorted_rows = rows.repartitionById(len(cuts) + 2, F.col("bucket")).sortWithinPartitions("bucket", "copy", *order)
     return map_arrow(sorted_rows.select("bucket", "doc_id", "text"), _walk, _ROW)
 
 
