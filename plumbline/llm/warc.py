@@ -194,8 +194,12 @@ def write(pages: DataFrame, folder: str | None = None, archive_bytes: int = ARCH
         place = F.row_number().over(Window.partitionBy("page_id", "key").orderBy("url"))
         settled = settled.withColumn("place", place).withColumn("revisit", F.col("revisit") | ((F.col("place") > 1) & F.col("key").isNotNull()))
         settled = settled.withColumn("refers_to", F.when(F.col("revisit"), F.coalesce("first", "page_id")))
-    picked = rows.orderBy(F.xxhash64("page_id", "digest")).limit(SAMPLE)
-    sample = [record(r["page_id"], r["url"], r["text"].encode("utf-8", "surrogatepass"), r["digest"], r["size"]) for r in picked.select("page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("text"), "digest", "size").collect()]
+    # About four times the sample by the least hashes, cut to SAMPLE_BYTES each before anything is sorted or gathered.
+    total = pages.count()
+    share = F.xxhash64("page_id", "url").cast("double") <= (2 * min(1.0, 4 * SAMPLE / max(1, total)) - 1) * 2.0**63
+    short = rows.where(share).select("page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("text"), "digest", "size")
+    picked = short.orderBy(F.xxhash64("page_id", "url"), "digest").limit(SAMPLE).collect()
+    sample = [record(r["page_id"], r["url"], r["text"].encode("utf-8", "surrogatepass"), r["digest"], r["size"]) for r in picked]
     sent = spark.sparkContext.broadcast(train(sample))
     columns = settled.select("page_id", "url", F.when(~F.col("revisit"), F.col("html")).alias("html"), "digest", "size", "refers_to", "revisit")
     return keep(map_arrow(columns, _write_batches(folder, sent, archive_bytes), _MANIFEST))
