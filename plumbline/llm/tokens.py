@@ -25,7 +25,7 @@ _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u2028\u2029"
 #: Pieces in each of the two generations of the memory, and the longest piece kept.
 MEMORY, LONGEST = 250_000, 48
 #: Characters of text whose new pieces go to the library together.
-TOGETHER = 5 << 20
+TOGETHER = 5 << 19
 #: Pieces that make one text of the library.
 JOINED = 200
 
@@ -106,7 +106,7 @@ class Encoder:
     move back, so that memory is bounded and frequent pieces stay.
     """
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, memory: int = MEMORY):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -116,6 +116,7 @@ class Encoder:
         self.starts = {BYTE_BPE: _starts_bytes, WORD_BPE: _starts_words}.get(base)
         # What keeps joined pieces apart: a line feed is a piece of its own, or white space that is dropped.
         self.between, self.stride = ("\n", 2) if base == BYTE_BPE else (" ", 1)
+        self.memory = memory
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -144,7 +145,7 @@ class Encoder:
 
     def _ids(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of different pieces, from memory as far as it has them; what isn't text has none."""
-        if len(self.known) > MEMORY:
+        if len(self.known) > self.memory:
             self.old, self.known = self.known, {}
         known, old = self.known, self.old
         data = list(map(known.get, pieces))
@@ -241,8 +242,8 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(name: str) -> Encoder:
-    """This process's encoder for a tokenizer file; reused workers keep its memory."""
+def encoder(name: str, memory: int = MEMORY) -> Encoder:
+    """This process's encoder for a tokenizer file; reused workers keep its pieces."""
     if name not in _encoders:
-        _encoders[name] = Encoder(name)
+        _encoders[name] = Encoder(name, memory)
     return _encoders[name]

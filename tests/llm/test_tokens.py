@@ -56,9 +56,8 @@ def direct_cached(name):
     return _direct[name]
 
 
-def test_encoder_memory_is_bounded(monkeypatch):
-    monkeypatch.setattr(tokens, "MEMORY", 10)
-    encode, want = tokens.Encoder(tokens.BYTE_BPE), direct(tokens.BYTE_BPE)
+def test_encoder_memory_is_bounded():
+    encode, want = tokens.Encoder(tokens.BYTE_BPE, 10), direct(tokens.BYTE_BPE)
     for _, text in made(9):
         assert np.frombuffer(encode(text), "<u4").tolist() == want(text)
     texts = [t for _, t in made(10)]
