@@ -32,9 +32,9 @@ NODES = 40_000
 #: Orders in which branches are tried, one search for each; see _fillings.
 THRIFT = (0.0, 1.0, 4.0, 16.0)
 SALTS = 256
-#: Pieces that the tokenizer's memory keeps in each generation: fewer than for token files, since the packing stage
-#: follows others in the same Python workers.
-MEMORY = 120_000
+#: Pieces that the tokenizer's memory keeps in each generation, and characters split at once: fewer than for token
+#: files, since the packing stage follows others in the same Python workers.
+MEMORY, TOGETHER = 120_000, 5 << 19
 
 Solution = list[tuple[tuple[int, ...], int]]  # (lengths in one sequence, number of such sequences)
 
@@ -247,8 +247,8 @@ def _piece_batches(name: str, end: int, capacity: int):
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last, width = encoder(name, MEMORY), np.array([end], "<u4").tobytes(), 4 * capacity
-        for docs, texts in gathered(batches):
+        encode, last, width = encoder(name, MEMORY, TOGETHER), np.array([end], "<u4").tobytes(), 4 * capacity
+        for docs, texts in gathered(batches, TOGETHER):
             rows = []
             for doc, ids in zip(docs, encode.many(texts), strict=True):
                 data = ids + last

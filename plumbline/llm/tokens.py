@@ -23,9 +23,9 @@ WORD_BPE = "word_bpe_49k.json"
 _SURE = ((0x80, 0x24F), (0x370, 0x3FF), (0x400, 0x45F), (0x2010, 0x2027), (0x2030, 0x205E), (0x20AC, 0x20AC), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FA5))
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u2028\u2029"
 #: Pieces in each of the two generations of the memory, and the longest piece kept.
-MEMORY, LONGEST = 250_000, 48
-#: Characters of text whose new pieces go to the library together.
-TOGETHER = 5 << 19
+MEMORY, LONGEST = 350_000, 48
+#: Characters of text that are split at once.
+TOGETHER = 5 << 20
 #: Pieces that make one text of the library.
 JOINED = 200
 
@@ -106,7 +106,7 @@ class Encoder:
     move back, so that memory is bounded and frequent pieces stay.
     """
 
-    def __init__(self, name: str, memory: int = MEMORY):
+    def __init__(self, name: str, memory: int = MEMORY, together: int = TOGETHER):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -116,7 +116,7 @@ class Encoder:
         self.starts = {BYTE_BPE: _starts_bytes, WORD_BPE: _starts_words}.get(base)
         # What keeps joined pieces apart: a line feed is a piece of its own, or white space that is dropped.
         self.between, self.stride = ("\n", 2) if base == BYTE_BPE else (" ", 1)
-        self.memory = memory
+        self.memory, self.together = memory, together
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -174,7 +174,7 @@ class Encoder:
         at = 0
         while at < len(texts):
             size, to = 0, at
-            while to < len(texts) and size < TOGETHER:
+            while to < len(texts) and size < self.together:
                 size += len(texts[to] or "")
                 to += 1
             out += self._some(texts[at:to])
@@ -224,15 +224,15 @@ class Encoder:
         return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], doubtful
 
 
-def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str | None]]]:
-    """(ids, texts) of a two-column stream, as many rows at a time as make TOGETHER characters."""
+def gathered(batches: Iterator[pa.RecordBatch], together: int = TOGETHER) -> Iterator[tuple[list, list[str | None]]]:
+    """(ids, texts) of a two-column stream, as many rows at a time as make ``together`` characters."""
     ids, texts, size = [], [], 0
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             ids.append(doc)
             texts.append(text)
             size += len(text or "")
-            if size >= TOGETHER:
+            if size >= together:
                 yield ids, texts
                 ids, texts, size = [], [], 0
     if ids:
@@ -242,8 +242,8 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(name: str, memory: int = MEMORY) -> Encoder:
+def encoder(name: str, memory: int = MEMORY, together: int = TOGETHER) -> Encoder:
     """This process's encoder for a tokenizer file; reused workers keep its pieces."""
     if name not in _encoders:
-        _encoders[name] = Encoder(name, memory)
+        _encoders[name] = Encoder(name, memory, together)
     return _encoders[name]
