@@ -1,12 +1,14 @@
 """Best-fit packing of documents into sequences, by bin completion over the histogram of lengths.
 
-Only the histogram (at most ``capacity`` numbers, whatever the corpus) is packed on the driver. Around the largest
-remaining length, the packer enumerates undominated fillings of the rest of a sequence: a filling that another one
-equals or exceeds item by item is left out, so an exact single item stands alone, exact pairs and triples come before
-looser ones. Branch and bound goes through them by least waste; a branch ends when its waste exceeds what would still
-beat the incumbent, or when the remaining lengths' own bound does. The first incumbent is the best-fit solution. Every
-filling is used as often as the histogram allows, so a solution has at most a few thousand different patterns. The
-search ends at the lower bound or after ``nodes`` fillings, with the incumbent.
+Only the histogram (at most ``capacity`` numbers, whatever the corpus) is packed on the driver. The first incumbent is
+the best-fit solution. Where that misses the lower bound, short searches over a few likely fillings, at most ``nodes``
+in all, look for a better one. What they leave open goes to the complete search: around the largest remaining length it
+enumerates all undominated fillings of the rest of a sequence, of any number of pieces, by least waste. A filling is
+dominated if some of its pieces, or none, can give way to one longer or equal piece that is left over. Each filling is
+used as often as the histogram allows, then less often; sequences of one largest length come in a fixed order. A branch
+ends when its waste exceeds what would still beat the incumbent, or when the remaining lengths' own bound does. The
+search ends at the lower bound, with a proof that nothing is better, or after ``steps`` steps, with the incumbent; a
+step is a length tried in a filling or a filling used.
 
 Pieces then find their places by rank: the r-th piece of a length takes the r-th slot of that length. Ranks come from
 salted groups (length, salt) and the salts' offsets, so one very common length isn't one task.
@@ -29,6 +31,8 @@ from plumbline.llm.tokens import WORD_BPE, encoder, gathered
 CAPACITY = 4096
 END = 1
 NODES = 40_000
+#: Steps of the complete search, the only thing besides waste and lower bounds that ends it.
+STEPS = 200_000
 #: Orders in which branches are tried, one search for each; see _fillings.
 THRIFT = (0.0, 1.0, 4.0, 16.0)
 SALTS = 256
@@ -47,13 +51,12 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
     best = -(-int(weight[-1]) // capacity)
     half = capacity // 2
     above = n[-1] - n[half + 1]
-    for k in range(1, half + 1):
-        large = int(n[-1] - n[capacity - k + 1])  # longer than capacity - k: alone among items of at least k
-        middle = int(above - large)
-        room = middle * capacity - int(weight[capacity - k + 1] - weight[half + 1])
-        small = int(weight[half + 1] - weight[k])
-        best = max(best, large + middle + max(0, -(-(small - room) // capacity)))
-    return best
+    k = np.arange(1, half + 1)
+    large = n[-1] - n[capacity - k + 1]  # longer than capacity - k: alone among items of at least k
+    middle = above - large
+    room = middle * capacity - (weight[capacity - k + 1] - weight[half + 1])
+    small = weight[half + 1] - weight[k]
+    return max(best, int((large + middle + np.maximum(0, -(-(small - room) // capacity))).max(initial=0)))
 
 
 def _fit(below: np.ndarray, counts: np.ndarray, room: int) -> tuple[int, ...]:
@@ -73,8 +76,8 @@ def _fit(below: np.ndarray, counts: np.ndarray, room: int) -> tuple[int, ...]:
 
 
 def _fillings(counts: np.ndarray, room: int, thrift: float, most: int = 4) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, least waste first; each further item counts as ``thrift`` wasted tokens, since
-    small items that fill a gap now are missing later."""
+    """A few likely fillings of ``room``, least waste first; each further item counts as ``thrift`` wasted tokens, since
+    small items that fill a gap now are missing later. For quick searches; :func:`_undominated` gives all."""
     if room <= 0:
         return [()]
     if counts[room]:
@@ -134,7 +137,7 @@ def best_fit(counts: np.ndarray, capacity: int) -> Solution:
         out.append((pattern, k))
 
 
-def pack_histogram(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES) -> Solution:
+def pack_histogram(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES, steps: int = STEPS) -> Solution:
     """Pack ``counts[k]`` items of each length k (0 is not used) into as few sequences as the search finds."""
     counts = np.asarray(counts, np.int64).copy()
     if len(counts) != capacity + 1 or counts[0]:
@@ -144,11 +147,13 @@ def pack_histogram(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NO
         if sum(k for _, k in best) <= least:
             break
         best = _search(counts, capacity, best, least, thrift, nodes // len(THRIFT))
+    if sum(k for _, k in best) > least:
+        best = _complete_search(counts, capacity, best, least, steps)
     return best
 
 
 def _search(counts: np.ndarray, capacity: int, best: Solution, least: int, thrift: float, nodes: int) -> Solution:
-    """Branch and bound from the largest length down; ``best`` is the incumbent, ``least`` a bound that ends it."""
+    """Quick branch and bound over likely fillings; ``best`` is the incumbent, ``least`` a bound that ends it."""
     total = int((counts * np.arange(capacity + 1)).sum())
     used = sum(k for _, k in best)
     taken: Solution = []
@@ -194,6 +199,181 @@ def _search(counts: np.ndarray, capacity: int, best: Solution, least: int, thrif
     return best
 
 
+class _Steps:
+    """What is left of the complete search's budget."""
+
+    def __init__(self, left: int):
+        self.left = left
+
+    def take(self) -> None:
+        self.left -= 1
+        if self.left < 0:
+            raise _Spent
+
+
+class _Spent(Exception):
+    pass
+
+
+def _reach(lengths: list[int], have: list[int], room: int) -> list[int]:
+    """Bit s of the i-th number: lengths from the i-th on can add up to s, at most ``room``."""
+    mask = (1 << (room + 1)) - 1
+    out = [1]
+    for x, n in zip(reversed(lengths), reversed(have), strict=True):
+        bits, n, share = out[-1], min(n, room // x), 1
+        while n:
+            share = min(share, n)
+            bits |= bits << share * x & mask
+            n -= share
+            share *= 2
+        out.append(bits)
+    return out[::-1]
+
+
+def _spread(bits: int, by: int) -> int:
+    """Every bit repeated at the next ``by`` places."""
+    done = 0
+    while done < by:
+        more = min(done + 1, by - done)
+        bits |= bits << more
+        done += more
+    return bits
+
+
+def _of_waste(lengths: list[int], have: list[int], reach: list[int], room: int, waste: int, steps: _Steps) -> Iterator[tuple[int, ...]]:
+    """All undominated fillings of ``room`` that leave exactly ``waste`` (``reach`` has that sum), longest pieces first. A longer piece that may
+    take some pieces' place comes before them, so a dominated beginning is dropped with all that could follow it."""
+    n = len(lengths)
+
+    def go(i: int, rest: int, sums: int, spare: int) -> Iterator[tuple[int, ...]]:
+        if not rest:
+            if not _spread(1, waste) & spare & ~1:  # nothing left over would still fit
+                yield ()
+            return
+        while i < n and reach[i] >> rest & 1:
+            x = lengths[i]
+            for q in range(min(have[i], rest // x), 0, -1):
+                if not reach[i + 1] >> (rest - q * x) & 1:
+                    continue
+                steps.take()
+                left = spare & ~(1 << x) if q == have[i] else spare
+                new, t = 0, sums
+                for _ in range(q):
+                    t <<= x
+                    new |= t
+                if _spread(new & ~(1 << x), waste) & left or _spread(1 << x, waste) & ~(1 << x) & left:
+                    continue
+                for tail in go(i + 1, rest - q * x, sums | new, left):
+                    yield (x,) * q + tail
+            i += 1
+
+    yield from go(0, room - waste, 1, sum(1 << x for x in lengths))
+
+
+def _undominated(counts: np.ndarray, top: int, capacity: int, slack, after, steps: _Steps) -> Iterator[tuple[int, ...]]:
+    """All undominated patterns around ``top``, least waste first, as long as the waste is within ``slack()``; only those
+    whose :func:`_rank` is above ``after``. To be resumed only while ``counts`` is what it was at first."""
+    room = capacity - top
+
+    def table() -> tuple[list[int], list[int], list[int]]:
+        counts[top] -= 1
+        there = np.flatnonzero(counts[: room + 1])[::-1]
+        lengths, have = there.tolist(), counts[there].tolist()
+        counts[top] += 1
+        return lengths, have, _reach(lengths, have, room)
+
+    # Deep branches hold many of these, most for their first pattern only: until it fails, no table is kept.
+    first = None
+    for again in (False, True):
+        lengths, have, reach = table()
+        alone = bool(lengths) and lengths[0] == room  # dominates all others
+        sums = reach[0] & (1 << (room + 1 - (after[0] if after else 0))) - 1
+        while sums:
+            total = sums.bit_length() - 1  # the greatest sum left
+            sums ^= 1 << total
+            waste = room - total
+            if waste > slack():
+                break
+            for filling in _of_waste(lengths, have, reach, room, waste, steps):
+                pattern = (top, *filling)
+                if pattern == first or (after is not None and _rank(pattern, capacity) <= after):
+                    continue
+                if not again:
+                    first = pattern
+                    break
+                yield pattern
+                if waste > slack():
+                    return
+            if alone or (first is not None and not again):
+                break
+        if again or first is None:
+            return
+        del lengths, have, reach
+        yield first
+
+
+def _rank(pattern: tuple[int, ...], capacity: int) -> tuple[int, int, tuple[int, ...]]:
+    """Order of sequences with one largest length. A pattern is above all that dominate it, so that of the solutions
+    of one size the least in this order has no dominated pattern, whatever is left over for later sequences."""
+    return capacity - sum(pattern), len(pattern), pattern
+
+
+def _complete_search(counts: np.ndarray, capacity: int, best: Solution, least: int, steps: int) -> Solution:
+    """Branch and bound over all undominated patterns and numbers of uses; ``best`` is the incumbent."""
+    counts = counts.copy()
+    total = int((counts * np.arange(capacity + 1)).sum())
+    used = sum(k for _, k in best)
+    budget = _Steps(steps)
+    waste = bins = 0
+
+    def slack() -> int:  # more waste could only tie the incumbent
+        return (used - 1) * capacity - total - waste
+
+    def level(before: tuple[int, ...] | None) -> list:
+        top = int(np.flatnonzero(counts)[-1])
+        after = _rank(before, capacity) if before is not None and before[0] == top else None
+        return [_undominated(counts, top, capacity, slack, after, budget), (), 0]
+
+    def put(pattern: tuple[int, ...], k: int) -> None:
+        nonlocal waste, bins
+        for x in pattern:
+            counts[x] -= k
+        waste += k * (capacity - sum(pattern))
+        bins += k
+
+    if not counts.any():
+        return best
+    stack = [level(None)]  # (patterns to come, pattern in use, times used) at each level of the current branch
+    try:
+        while stack and used > least:
+            now = stack[-1]
+            if now[2]:
+                put(now[1], -now[2])
+                now[2] -= 1
+            if not now[2]:
+                now[1] = next(now[0], ())
+                if not now[1]:
+                    stack.pop()
+                    continue
+                now[2] = _uses(now[1], counts)
+            loss = capacity - sum(now[1])
+            if loss:
+                now[2] = min(now[2], slack() // loss)
+                if now[2] <= 0:
+                    now[2] = 0
+                    continue
+            budget.take()
+            put(now[1], now[2])
+            if not counts.any():
+                if bins < used:
+                    best, used = [(p, k) for _, p, k in stack], bins
+            elif bins + lower_bound(counts, capacity) < used:
+                stack.append(level(now[1]))
+    except _Spent:
+        pass
+    return best
+
+
 def _slots(solution: Solution) -> tuple[np.ndarray, ...]:
     """Run-length table of slots, sorted by (length, first rank): length, rank, first sequence, offset."""
     rows, rank, sequence = [], {}, 0

@@ -152,6 +152,25 @@ def test_small_packings_are_optimal():
     assert better  # there are cases that best fit alone gets wrong
 
 
+def test_fillings_of_many_pieces():
+    counts = np.bincount([3996, 3961, 47, 45, 43, 41, 29, 17, 13], minlength=4097)
+    assert sum(k for _, k in packing.best_fit(counts, 4096)) == 3
+    found = packing.pack_histogram(counts)
+    assert sorted(found) == [((3961, 47, 45, 43), 1), ((3996, 41, 29, 17, 13), 1)]
+
+
+def test_complete_search_alone_is_optimal():
+    rng = random.Random(8)
+    for _ in range(300):
+        lengths = [rng.randrange(*rng.choice([(1, 31), (3, 12)])) for _ in range(rng.randrange(1, 6))]
+        items = sorted((rng.choice(lengths) for _ in range(rng.randrange(1, 15))), reverse=True)
+        counts = np.bincount(items, minlength=31)
+        alone = [((x,), 1) for x in items]  # the worst incumbent
+        found = packing._complete_search(counts, 30, alone, packing.lower_bound(counts, 30), 1_000_000)
+        assert sorted(x for p, k in found for x in p * k) == sorted(items) and all(sum(p) <= 30 for p, _ in found)
+        assert sum(k for _, k in found) == best_possible(items, 30)
+
+
 def test_packed_documents(spark):
     docs = made() + [(200 + i, "same text here") for i in range(500)]
     table = spark.createDataFrame([(*r, 1, "p") for r in docs], DOCS).repartition(5)
