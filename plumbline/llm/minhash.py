@@ -124,16 +124,21 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def _band_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     maps = _maps()
     for batch in batches:
-        bands, sets = [], []
-        for text in batch.column(1).to_pylist():
-            sig = signature(text, maps)[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS).astype(np.uint64)
+        bands = []
+        for text in batch.column(1):
+            sig = signature(text.as_py(), maps)[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS).astype(np.uint64)
             mixed = np.zeros(BANDS, np.uint64)
             for k in range(BAND_ROWS):
                 mixed = (mixed ^ sig[:, k]) * np.uint64(0x9E3779B97F4A7C15)
                 mixed ^= mixed >> np.uint64(29)
             bands.append(mixed.view(np.int64))
-            sets.append(np.unique(shingle_hashes(text, SHINGLE)).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bands, pa.list_(pa.int64())), pa.array(sets, pa.binary())], names=["node", "bands", "shingles"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bands, pa.list_(pa.int64()))], names=["node", "bands"])
+
+
+def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.unique(shingle_hashes(text.as_py(), SHINGLE)).tobytes() for text in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
 
 def jaccard(x: np.ndarray, y: np.ndarray) -> float:
@@ -193,14 +198,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     is the class's distinct texts less one. Null and empty texts form one class. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
-    texts = rows.groupBy("node").agg(F.first("text").alias("text"))
-    marked = keep(map_arrow(texts, _band_batches, "node long, bands array<long>, shingles binary"))
+    every = keep(map_arrow(rows.select("node", "text"), _band_batches, "node long, bands array<long>"))
+    marked = keep(every.dropDuplicates(["node"]))
     banded = marked.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = banded.groupBy("band", "key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("what")).where("n > 1")
     once = buckets.groupBy("n", "what").agg(F.min(F.struct("band", "key")).alias("b")).select("b.band", "b.key", F.ceil(F.col("n") / tile).cast("int").alias("g"))
     chosen = banded.join(once, ["band", "key"]).withColumn("s", F.pmod(F.xxhash64("node", "band"), F.col("g")).cast("int"))
     tiles = F.transform(F.sequence(F.lit(0), F.col("g") - 1), lambda j: F.least(j, F.col("s")) * F.col("g") + F.greatest(j, F.col("s")))
-    dealt = chosen.withColumn("tile", F.explode(tiles)).join(marked.select("node", "shingles"), "node")
+    met = keep(chosen.select("band", "key", F.explode(tiles).alias("tile"), "node"))
+    # Only texts that share a band with another are moved, once each.
+    wanted = rows.join(met.select("node").distinct(), "node", "left_semi").select("node", "text").dropDuplicates(["node"])
+    dealt = met.join(keep(map_arrow(wanted, _shingle_batches, "node long, shingles binary")), "node")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = dealt.select("band", "key", "tile", "node", "shingles").repartition(parts, "band", "key", "tile").sortWithinPartitions("band", "key", "tile")
     found = keep(components(map_arrow(runs, _bucket_batches(least), "u long, v long")))

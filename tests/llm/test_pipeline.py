@@ -60,6 +60,30 @@ def test_stages(spark, corpus):
     assert docs.where("doc_id = 50").first().text == dict(rows)[50]
 
 
+def test_near_duplicates_at_four_fifths(spark):
+    rng = random.Random(4)
+
+    def edited(words, n):
+        out = list(words)
+        for k in range(n):
+            out[(2 * k + 1) * len(words) // (2 * n)] = f"x{rng.randrange(10**6)}"
+        return out
+
+    def alike(a, b):
+        a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+        return len(a & b) / len(a | b)
+
+    rows = []
+    for i in range(40):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        other = edited(words, 4 if i < 20 else 6)
+        assert 0.8 <= alike(words, other) < 0.85 if i < 20 else 0.7 < alike(words, other) < 0.8
+        rows += [(i, " ".join(words)), (100 + i, " ".join(other))]
+    docs = pipeline.keep(spark.createDataFrame([(d, t, "en", "s", len(t), 1, 7) for d, t in rows], DOCS))
+    left = [r.doc_id % 100 for r in pipeline.near_duplicate_stage(spark, docs, "").collect()]
+    assert [left.count(i) for i in range(40)] == [1] * 20 + [2] * 20
+
+
 def test_run(spark, corpus):
     folder, _ = corpus
     out = pipeline.run(spark, folder)
