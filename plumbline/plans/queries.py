@@ -409,7 +409,7 @@ def adjacent_cosine(spark, sf_dir):
 
 def _bank_rows(spark, sf_dir) -> DataFrame:
     rows = _t(spark, sf_dir, "embeddings")
-    return rows.select(F.lit("cog").alias("role"), F.col("label").cast("string").alias("episode"), F.col("vec_id").cast("double").alias("timestep"), F.slice(F.col("embedding").cast("array<double>"), 1, 8).alias("feat"))
+    return rows.select(F.lit("cog").alias("role"), F.col("label").cast("string").alias("episode"), F.col("vec_id").cast("double").alias("timestep"), F.col("embedding").cast("array<double>").alias("feat"))
 
 
 @query("""WITH e AS (SELECT label, vec_id, list(CAST(vec_id AS DOUBLE)) OVER w AS t, list(CAST(embedding[1] AS DOUBLE)) OVER w AS x FROM embeddings
@@ -435,11 +435,40 @@ def bank_fifo(spark, sf_dir):
 ), ended AS (SELECT f.label, f.bank FROM fold f JOIN (SELECT label, max(k) AS k FROM src GROUP BY label) m ON f.label = m.label AND f.k = m.k)
 SELECT CAST(label AS VARCHAR) AS episode, CAST(i - 1 AS INTEGER) AS place, round(bank[i].t, 6) + 0.0 AS t, round(list_sum(bank[i].v), 6) + 0.0 AS value FROM (SELECT label, bank, unnest(range(1, len(bank) + 1)) AS i FROM ended)""")
 def bank_merge(spark, sf_dir):
-    banks = memory.bank_merge(_bank_rows(spark, sf_dir), 6)
+    banks = memory.bank_merge(_bank_rows(spark, sf_dir).withColumn("feat", F.slice("feat", 1, 8)), 6)  # as in its SQL; whole vectors: bank_merge_whole
     rows = banks.select("episode", F.posexplode("bank").alias("place", "e"))
     return rows.select("episode", "place", _r(F.col("e.t")).alias("t"), _r(F.aggregate("e.v", F.lit(0.0), lambda a, x: a + x)).alias("value"))
 
 
+@query("""WITH RECURSIVE src AS (
+  SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k, CAST(vec_id AS DOUBLE) AS t, embedding::DOUBLE[] AS v FROM embeddings
+), fold(label, k, bank) AS (
+  SELECT label, 1::BIGINT, [{'t': t, 'v': v}] FROM src WHERE k = 1
+  UNION ALL
+  SELECT label, k, CASE WHEN len(l) <= 6 THEN l ELSE list_concat(l[1:p - 1], [{'t': (l[p].t + l[p + 1].t) / 2, 'v': list_transform(range(1, 65), lambda j: (l[p].v[j] + l[p + 1].v[j]) / 2)}], l[p + 2:]) END
+  FROM (SELECT label, k, l, list_position(sims, list_max(sims)) AS p FROM (
+    SELECT label, k, l, list_transform(range(1, len(l)), lambda i: list_cosine_similarity(l[i].v, l[i + 1].v)) AS sims FROM (
+      SELECT s.label, s.k, list_append(f.bank, {'t': s.t, 'v': s.v}) AS l FROM fold f JOIN src s ON s.label = f.label AND s.k = f.k + 1)))
+), ended AS (SELECT f.label, f.bank FROM fold f JOIN (SELECT label, max(k) AS k FROM src GROUP BY label) m ON f.label = m.label AND f.k = m.k)
+SELECT CAST(label AS VARCHAR) AS episode, CAST(i - 1 AS INTEGER) AS place, CAST(k - 1 AS INTEGER) AS dim, round(bank[i].t, 6) + 0.0 AS t, round(bank[i].v[k], 6) + 0.0 AS value
+FROM (SELECT label, bank, unnest(range(1, len(bank) + 1)) AS i FROM ended), (SELECT unnest(range(1, 65)) AS k)""")
+def bank_merge_whole(spark, sf_dir):
+    banks = memory.bank_merge(_bank_rows(spark, sf_dir), 6)
+    rows = banks.select("episode", F.posexplode("bank").alias("place", "e")).select("episode", "place", _r(F.col("e.t")).alias("t"), F.posexplode("e.v").alias("dim", "x"))
+    return rows.select("episode", "place", "dim", "t", _r(F.col("x")).alias("value"))
+
+
+@query("""WITH e AS (SELECT label, vec_id, list(CAST(vec_id AS DOUBLE)) OVER w AS t, list(embedding::DOUBLE[]) OVER w AS x FROM embeddings
+  WINDOW w AS (PARTITION BY label ORDER BY vec_id ROWS BETWEEN 15 PRECEDING AND CURRENT ROW))
+SELECT CAST(label AS VARCHAR) AS episode, CAST(vec_id AS DOUBLE) AS timestep, CAST(len(t) AS INTEGER) AS size, t[1] AS oldest, CAST(k - 1 AS INTEGER) AS dim,
+       round(list_sum(list_transform(x, lambda v: v[k])), 6) + 0.0 AS value FROM e, (SELECT unnest(range(1, 65)) AS k)""")
+def bank_fifo_whole(spark, sf_dir):
+    banks = memory.bank_fifo(_bank_rows(spark, sf_dir), 16)
+    totals = F.transform("feat", lambda x, i: F.aggregate("bank", F.lit(0.0), lambda a, e: a + F.get(e["v"], i)))
+    rows = banks.select("episode", "timestep", F.size("bank").alias("size"), F.get("bank", F.lit(0))["t"].alias("oldest"), F.posexplode(totals).alias("dim", "x"))
+    return rows.select("episode", "timestep", "size", "oldest", "dim", _r(F.col("x")).alias("value"))
+
+
 @query(f"""WITH RECURSIVE {_EV}, w(episode_id, frame_index, x0, x2, x3) AS (
   SELECT episode_id, frame_index, s0 + 0.5 * s0, CASE WHEN s2 + 0.5 * s2 > pi() THEN s2 + 0.5 * s2 - 2 * pi() WHEN s2 + 0.5 * s2 < -pi() THEN s2 + 0.5 * s2 + 2 * pi() ELSE s2 + 0.5 * s2 END, 0.5 * s3 FROM ev WHERE frame_index = 0
   UNION ALL
@@ -465,6 +494,12 @@ def queue_actions(spark, sf_dir):
     return memory.queue_actions(rows, "chunk", ["episode_id", "frame_index"]).select("episode_id", "frame_index", "step", _r(F.get("action", F.lit(0))).alias("value"))
 
 
+@query(f"""WITH {_EV} SELECT episode_id, frame_index, CAST(k AS INTEGER) AS step, round(CASE k WHEN 0 THEN s0 WHEN 1 THEN s1 WHEN 2 THEN s2 ELSE s3 END, 6) + 0.0 AS value FROM ev, (SELECT unnest(range(4)) AS k)""")
+def queue_actions_whole(spark, sf_dir):
+    rows = event_frames(spark, sf_dir).withColumn("chunk", vec.unflatten(F.col("state"), 1))
+    return memory.queue_actions(rows, "chunk", ["episode_id", "frame_index"]).select("episode_id", "frame_index", "step", _r(F.get("action", F.lit(0))).alias("value"))
+
+
 # Mixtures, sampling, schedules, collation.
 
 
@@ -689,6 +724,20 @@ def vector_blends(spark, sf_dir):
     return rows.select("vec_id", "dim", *(_r(F.col(f"x.{c}")).alias(c) for c in ("lerp", "guided", "mid", "gated", "target", "integrated")))
 
 
+@query("""WITH e AS (SELECT vec_id, CAST(embedding[i + 1] AS DOUBLE) AS a, CAST(embedding[i + 33] AS DOUBLE) AS b, i FROM embeddings, (SELECT unnest(range(32)) AS i))
+SELECT vec_id, CAST(i AS INTEGER) AS dim, round(0.25 * a + 0.75 * b, 6) + 0.0 AS lerp, round(a + 1.5 * (b - a), 6) + 0.0 AS guided, round((a + b) / 2, 6) + 0.0 AS mid,
+       round(0.5 * a + 0.5 * b, 6) + 0.0 AS gated, round(a - b, 6) + 0.0 AS target, round(a * pow(0.9, 10), 6) + 0.0 AS integrated FROM e""")
+def vector_blends_whole(spark, sf_dir):
+    v = F.col("embedding").cast("array<double>")
+    a, b = F.slice(v, 1, 32), F.slice(v, 33, 32)
+    made = F.arrays_zip(
+        vec.lerp(0.25, a, b).alias("lerp"), vec.guidance(a, b, 1.5).alias("guided"), vec.midpoint(a, b).alias("mid"), vec.gate_blend(F.array_repeat(F.lit(0.5), 32), a, b).alias("gated"),
+        vec.flow_target(a, b).alias("target"), vec.euler(a, lambda x, t: x, 10).alias("integrated"),
+    )
+    rows = _t(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(made).alias("dim", "x"))
+    return rows.select("vec_id", "dim", *(_r(F.col(f"x.{c}")).alias(c) for c in ("lerp", "guided", "mid", "gated", "target", "integrated")))
+
+
 @query("""SELECT l_returnflag, round(sum(l_quantity * CAST(l_linestatus = 'O' AS INTEGER)) / greatest(sum(CAST(l_linestatus = 'O' AS INTEGER)), 1), 6) AS masked,
   round(avg(CASE WHEN l_discount - 0.05 < 0 THEN 0.9 ELSE 0.1 END * pow(l_discount - 0.05, 2)), 9) AS expectile, round(avg(l_tax * (1 + 1 / (1 + exp(-l_discount)))), 6) AS rewarded FROM lineitem GROUP BY 1""")
 def weighted_losses(spark, sf_dir):
