@@ -1,27 +1,35 @@
 """Tables and files in the folder that driver and executors share.
 
-The folder is what the cluster names in ``spark.checkpoint.dir``. Only where that is unset (tests, a laptop) a
-temporary folder of this machine is used. Intermediate results go there as Parquet, which also cuts lineage: a lost
-executor costs a re-read and no recomputation.
+The folder is what the cluster names in ``spark.checkpoint.dir``. Only where that is unset and the master is a single
+local process (tests, a laptop) a temporary folder of this machine is used; on a cluster an unset folder is an error,
+since each executor would write to a disk of its own. Intermediate results go there as Parquet, which also cuts
+lineage: a lost executor costs a re-read and no recomputation. What is no longer read is discarded at once, all else
+when the interpreter ends.
 """
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_made: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """URI of a new, unique folder below the shared folder (not created yet)."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        app = spark.sparkContext.applicationId
-        base = _own.setdefault(app, "file://" + tempfile.mkdtemp(prefix="plumbline-"))
-    return f"{base.rstrip('/')}/plumbline-{uuid.uuid4().hex}"
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = _own.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="plumbline-"))
+    path = f"{base.rstrip('/')}/plumbline-{uuid.uuid4().hex}"
+    _made[path] = spark
+    return path
 
 
 def keep(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -29,7 +37,14 @@ def keep(df: DataFrame, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = path or shared_dir(spark)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._kept_at = path
+    return out
+
+
+def discard(kept: DataFrame) -> None:
+    """Remove a table that :func:`keep` has returned and that nothing reads any more."""
+    drop(kept.sparkSession, kept._kept_at)
 
 
 #: Bounds of one Arrow batch between the JVM and Python, rows and bytes: what a task holds at a time on either side.
@@ -68,6 +83,17 @@ def drop(spark: SparkSession, path: str) -> None:
     """Remove a folder made by :func:`shared_dir`, wherever that filesystem is."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    _made.pop(path, None)
+
+
+@atexit.register
+def _drop_all() -> None:
+    """Folders of sessions that still run; a stopped session has nobody left to ask for its filesystem."""
+    for path, spark in list(_made.items()):
+        try:
+            drop(spark, path)
+        except Exception:  # noqa: BLE001 - the JVM may be gone
+            return
 
 
 def filesystem(uri: str):

@@ -79,3 +79,71 @@ def test_no_python_in_the_plan(spark):
     plan = pii.replace_entities(docs, "k")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|ArrowEval|MapIn", plan)
     assert docs.where(F.lit(False)).count() == 0
+
+
+def test_long_runs_of_each_alternative(spark):
+    """A text of a third of a megabyte of what each alternative reads: no deep stack, and time in its length."""
+    runs = ["ab@c.d ", "b.", "+1 ", "1234 ", "1.2.3.4.", "AB12 ", "Mr Ab ", "password ", "(12) ", "AKIA", "Mr. ", "138 "]
+    texts = [r * (300_000 // len(r)) for r in runs] + ["a@" + "b." * 150_000 + "com", "token=" + "x1" * 150_000]
+    got = replaced(spark, texts)
+    assert [n > 0 for _, n in got] == [r in ("ab@c.d ", "1234 ", "AB12 ", "Mr Ab ", "Mr. ") for r in runs] + [True, True]
+    assert got[-2][1] == 1 and re.fullmatch(r"[a-z]@m[0-9a-f]{8}\.example\.org", got[-2][0])
+    assert len(got[-1][0]) == len(texts[-1]) and got[-1][0] != texts[-1]
+
+
+def test_coreference_across_titles_and_spellings(spark):
+    texts = [
+        "Mr John Smith called. John Smith is here, Smith's car. Smithson isn't.",
+        "Dr John wrote; Mrs Smith-Jones answered JOHN.",
+        "+1 555 123 4567 or 555-123-4567 or (555) 123-4567",
+        "John Smith without a title",
+        "Mr JOHN O'Neil",
+    ]
+    got = [t for t, _ in replaced(spark, texts)]
+    john, smith = re.fullmatch(r"Mr (\w+) (\w+) called\. \1 \2 is here, \2's car\. Smithson isn't\.", got[0]).groups()
+    assert re.search("(ron|las|bert|vin)$", john) and re.search("(len|ris|quin|sol)$", smith)
+    assert re.fullmatch(rf"Dr {john} wrote; Mrs {smith}-\w+ answered JOHN\.", got[1])
+    numbers = {re.sub(r"\D", "", n)[-10:] for n in got[2].split(" or ")}
+    assert len(numbers) == 1 and got[2].startswith("+1 ") and "5551234567" not in numbers
+    assert got[3] == texts[3]
+    assert re.fullmatch(rf"Mr {john.upper()} O'[A-Z][a-z]+", got[4])
+
+
+def test_formats(spark):
+    texts = ["iban DE89 3704 0044 0532 0130 00 and FR1420041010050500013M02606", "иван.П@пример.рф", "Mr Հակոբ Մանուկյան", "κα@δοκ.gr", "tel 13812345678", "version 1.2.3.4, isbn 978 316 1484 100"]
+    got = [t for t, _ in replaced(spark, texts)]
+    for iban in re.findall(r"[A-Z]{2}\d\d[ \dA-Z]{10,}\d", got[0].replace(" and ", "\n")):
+        plain = iban.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    assert re.fullmatch(r"[а-я]{4}\.[а-я]@[а-я]{6}\.испытание", got[1])
+    assert re.fullmatch(r"Mr [Ա-Ֆա-և]+ [Ա-Ֆա-և]+", got[2]) and got[2] != texts[2]
+    assert re.fullmatch(r"[α-ω]{2}@[α-ω]{3}\.δοκιμή", got[3])
+    assert re.fullmatch(r"tel \d{11}", got[4]) and got[4] != texts[4]
+    assert got[5] == texts[5]
+
+
+def test_leaks_on_the_table(spark):
+    """What is found in the documents is found nowhere in the result, and all else stays."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r for r in pii.replace_entities(docs, "k").collect()}
+    found = {r.doc_id: r.m for r in docs.select("doc_id", F.regexp_extract_all("text", F.lit(pii.PATTERN), F.lit(0)).alias("m")).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert sum(map(bool, found.values())) >= 5
+    for d, text in texts.items():
+        new, at, last = got[d].text, 0, 0
+        assert got[d].n_entities == len(found[d] or [])
+        for value in found[d] or []:
+            assert value not in new
+            place = text.index(value, last)
+            gap = text[last:place]
+            at = new.index(gap, at) + len(gap)
+            last = place + len(value)
+        assert new.endswith(text[last:])
+
+
+def test_dense_forms_get_tags(spark, monkeypatch):
+    monkeypatch.setattr(pii, "MAX_ATTEMPTS", 2)
+    table = spark.createDataFrame([("ssn", str(i)) for i in range(10)], "type string, canon string")
+    made = [r.surrogate for r in pii.surrogates(table, "k").collect()]
+    assert len(set(made)) == 10 and not set(made) & {str(i) for i in range(10)}
+    assert all(re.fullmatch(r"\[ssn [0-9a-f]{32}\]", m) for m in made)
