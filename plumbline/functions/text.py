@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,3 +133,38 @@ def word_ids(text: Column, dim: int = 50_000) -> Column:
     """The built-in stand-in for a tokenizer: white-space words, each hashed to an id from 1 to ``dim``."""
     words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
     return F.transform(words, lambda w: (F.pmod(F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(dim)) + 1).cast("int"))
+
+
+def tokenize_chat(turns: Column, encode: Callable[[Column], Column] = word_ids, system: str = "", roles: tuple[str, str] = ("USER", "ASSISTANT"), seps: tuple[str, str] = (" ", "</s>")) -> Column:
+    """``struct<input_ids, labels>`` of a conversation: every turn is rendered and encoded by itself; what a human says
+    (and the system's text) is masked in the labels."""
+    name = lambda t: F.when(t["from"] == "human", roles[0]).otherwise(roles[1])
+    text = lambda t, i: F.concat(F.when(i == 0, system + seps[0] if system else "").otherwise(""), name(t), F.lit(": "), F.coalesce(t["value"], F.lit("")), F.when(i % 2 == 0, seps[0]).otherwise(seps[1]))
+    coded = F.transform(turns, lambda t, i: F.struct(encode(text(t, i)).alias("ids"), (t["from"] == "human").alias("masked")))
+    labels = F.transform(coded, lambda c: F.when(c["masked"], F.transform(c["ids"], lambda _: F.lit(IGNORED))).otherwise(c["ids"]))
+    return F.struct(F.flatten(F.transform(coded, lambda c: c["ids"])).alias("input_ids"), F.flatten(labels).alias("labels"))
+
+
+def arrow_encoder(encode: Callable[[str], list[int]]):
+    """A tokenizer in Python as a column function, in Arrow batches; null texts have no ids."""
+    @F.arrow_udf("array<int>")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else encode(t) for t in texts.to_pylist()], pa.list_(pa.int32()))
+
+    return run
+
+
+#: Chat templates by name: how :func:`render_chat` writes a conversation.
+TEMPLATES: dict[str, dict] = {"two": {"seps": (" ", "</s>")}, "plain": {"seps": ("\n", "\n"), "plain": True}, "lines": {"seps": ("\n", "\n")}}
+
+
+def register_template(name: str, **style) -> None:
+    """Add or replace a template; unknown parts of a style are errors when it is rendered."""
+    TEMPLATES[name] = dict(style)
+
+
+def render_with(turns: Column, template: str) -> Column:
+    """:func:`render_chat` in the style of a registered template."""
+    if template not in TEMPLATES:
+        raise KeyError(f"no such template: {template}")
+    return render_chat(turns, **TEMPLATES[template])

@@ -55,6 +55,17 @@ def spliced_length(text_ids: Column, image_id: int, patches: Column | int) -> Co
     return F.size(text_ids) - images + images * F.lit(patches)
 
 
+def splice_values(ids: Column, image_id: int, words: Column, images: Column) -> Column:
+    """Vectors of a multimodal sequence: ``words`` has a vector for each id, ``images`` the patch vectors of each image;
+    the j-th image sentinel gives way to all patches of the j-th image (to none if there are too few images)."""
+    flags = F.transform(ids, lambda x: (x == image_id).cast("int"))
+    # Places of the sentinels in order: the rank of one is its image's number.
+    places = F.filter(F.transform(flags, lambda f, i: F.when(f == 1, i)), lambda i: i.isNotNull())
+    none = F.slice(F.get(images, F.lit(0)), 1, 0)
+    patches = lambda i: F.coalesce(F.get(images, F.array_position(places, i).cast("int") - 1), none)
+    return F.flatten(F.transform(ids, lambda x, i: F.when(x == image_id, patches(i)).otherwise(F.array(F.get(words, i)))))
+
+
 def splice_layout(df: DataFrame, ids: str, image_id: int, patches: int, batch: str, max_length: int | None = None, side: str = "right") -> DataFrame:
     """Bookkeeping of a multimodal splice: ``kind`` (0 padding, 1 text, 2 image), ``attention_mask`` and
     ``position_ids`` of every sequence, cut to ``max_length`` and padded to the batch's longest on ``side``."""

@@ -10,6 +10,8 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,12 +131,48 @@ def add_cumulative_chunk(df: DataFrame, length: int = 10, padding: str = "last",
     gripper stays held."""
     if "action" not in df.columns:
         return df
-    chunk = F.col("__chunk")
-    step = lambda last, x: F.transform(x, lambda v, i: F.when(vec.in_dims(i, F.size(x), gripper), v).otherwise(F.get(last, i) + v))
-    rest = F.slice(chunk, 2, length)
-    summed = F.aggregate(rest, F.slice(chunk, 1, 1), lambda acc, x: F.concat(acc, F.array(step(F.element_at(acc, -1), x))))
+    newest = gripper if isinstance(gripper, Column) else F.array(*map(F.lit, gripper)).cast("array<int>")
     held = gripper if non_delta is None else non_delta
-    return _padded_chunk(df, length, padding, held, ep, pad_short).withColumn("action", F.flatten(summed)).drop("__chunk")
+    return _padded_chunk(df, length, padding, held, ep, pad_short).withColumn("action", _running_sums()(F.col("__chunk"), newest)).drop("__chunk")
+
+
+def _running_sums():
+    """Arrow function: (chunks, dimensions that take the newest value) -> flat running sums. A chunk with a null, or of
+    vectors of several lengths, is summed by itself; nulls stay null from there on in their dimension."""
+
+    def summed(chunk: np.ndarray, dims: list[int]) -> np.ndarray:
+        out = np.cumsum(chunk, axis=-2)
+        for d in dims:
+            if -chunk.shape[-1] <= d < chunk.shape[-1]:
+                out[..., d] = chunk[..., d]
+        return out
+
+    def one(chunk: list | None, dims: list | None) -> list | None:
+        if chunk is None or any(v is None for v in chunk):
+            return None
+        if len({len(v) for v in chunk}) > 1:
+            raise ValueError("the vectors of a chunk have several lengths")
+        if not chunk:
+            return []
+        flat = summed(np.array([[np.nan if x is None else x for x in v] for v in chunk], float), [d for d in dims or () if d is not None])
+        gone = np.logical_or.accumulate(np.array([[x is None for x in v] for v in chunk]), axis=0)
+        return [None if g else x for x, g in zip(flat.ravel().tolist(), gone.ravel().tolist(), strict=True)]
+
+    @F.arrow_udf("array<double>")
+    def run(chunks: pa.Array, dims: pa.Array) -> pa.Array:
+        n = len(chunks)
+        steps, vectors = chunks.value_lengths(), chunks.flatten()
+        widths, values = vectors.value_lengths(), vectors.flatten()
+        same = lambda lengths: len(lengths) > 0 and not lengths.null_count and lengths.to_numpy().min() == lengths.to_numpy().max()
+        alike = dims.null_count == 0 and len(set(map(tuple, dims.to_pylist()))) == 1 if n else False
+        if same(steps) and same(widths) and not chunks.null_count and not values.null_count and alike:
+            shape = n, steps[0].as_py(), widths[0].as_py()
+            flat = summed(values.to_numpy().reshape(shape), dims[0].as_py()).ravel()
+            size = shape[1] * shape[2]
+            return pa.ListArray.from_arrays(pa.array(np.arange(0, n * size + 1, size) if size else np.zeros(n + 1), pa.int32()), pa.array(flat, pa.float64()))
+        return pa.array([one(c, d) for c, d in zip(chunks.to_pylist(), dims.to_pylist(), strict=True)], pa.list_(pa.float64()))
+
+    return run
 
 
 def short_episodes(df: DataFrame, length: int, ep: Episodes = EPISODES) -> DataFrame:
@@ -146,15 +184,35 @@ def integrate(df: DataFrame, start: Column, ep: Episodes = EPISODES, hold: Seque
     """Absolute actions from deltas: each result is the one before with its ``hold`` dimensions zeroed, plus the delta,
     ``angles`` wrapped once. The running wrap isn't linear, so each episode is folded in order; ``start`` is its first
     vector. One row per input frame, emitted once."""
-    fold = df.groupBy(*ep.keys).agg(F.array_sort(F.collect_list(F.struct(*ep.order, F.col("action").alias("a")))).alias("__f"), F.min_by(start, F.struct(*ep.order)).alias("__s"))
-
-    def step(last: Column, d: Column) -> Column:
-        moved = F.transform(d, lambda x, i: x + F.when(vec.in_dims(i, F.size(d), hold), 0.0).otherwise(F.get(last, i)))
-        return vec.wrap_dims(moved, angles, half_range, 2 * half_range)
-
-    path = F.aggregate("__f", F.array(F.col("__s")), lambda acc, f: F.concat(acc, F.array(step(F.element_at(acc, -1), f["a"]))))
-    rows = F.transform("__f", lambda f, i: F.struct(*(f[c].alias(c) for c in ep.order), F.get(F.col("__p"), i + 1).alias("action")))
-    return fold.withColumn("__p", path).select(*ep.keys, F.explode(rows).alias("__r")).select(*ep.keys, "__r.*")
+    rows = df.select(*ep.keys, *ep.order, F.col("action").cast("array<double>").alias("action"), start.cast("array<double>").alias("__s"))
+    width, held, turned = len(ep.keys), tuple(hold), tuple(angles)
+
+    def run(batches):
+        now, last = None, None
+        for batch in batches:
+            own = zip(*(batch.column(i).to_pylist() for i in range(width)), strict=True)
+            starts, out = batch.column(batch.num_columns - 1), []
+            for i, (key, delta) in enumerate(zip(own, batch.column(batch.num_columns - 2).to_pylist(), strict=True)):
+                if key != now:
+                    now, last = key, starts[i].as_py()
+                n = len(delta) if delta is not None else 0
+                zeroed, wrapped = {d % n for d in held if -n <= d < n}, {d % n for d in turned if -n <= d < n}
+                if delta is not None:
+                    base = last or []
+                    moved = [None if x is None else x if d in zeroed else x + base[d] if d < len(base) and base[d] is not None else None for d, x in enumerate(delta)]
+                    for d in wrapped:
+                        x = moved[d]
+                        if x is not None:
+                            moved[d] = x - 2 * half_range if x > half_range else x + 2 * half_range if x < -half_range else x
+                    last = moved
+                else:
+                    last = None
+                out.append(last)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 2)), pa.array(out, pa.list_(pa.float64()))], names=batch.schema.names[:-1])
+
+    # An episode comes sorted through one task, which holds its last vector only.
+    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in (*ep.keys, *ep.order))
+    return rows.repartition(*ep.keys).sortWithinPartitions(*ep.keys, *ep.order).mapInArrow(run, f"{schema}, action array<double>")
 
 
 def label_islands(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

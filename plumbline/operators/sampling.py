@@ -6,7 +6,7 @@ where another engine must be able to follow.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,9 +29,14 @@ def oversample(files: DataFrame, frequency: Column | float, by: Sequence[str] =
     """Whole copies of each file for every whole unit of ``frequency``, and of the rest's share the first
     ceil(n * fraction) files in drawn order. ``copy_id`` tells copies apart (the share has the last one)."""
     f = F.lit(frequency) if not isinstance(frequency, Column) else frequency
-    w = Window.partitionBy(*by).orderBy(draw(seed, F.col(key)), key)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    ranked = files.withColumns({"__f": f.cast("double"), "__rank": F.row_number().over(w), "__n": n})
+    # Ranked in 256 dealt buckets of the draw, which are moved by the sizes of those before: no group is one task's sort.
+    dealt = files.withColumns({"__f": f.cast("double"), "__d": draw(seed, F.col(key))}).withColumn("__b", F.substring("__d", 1, 2))
+    every = Window.partitionBy(*by)
+    sizes = dealt.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__k"))  # at most 256 rows a group
+    before = F.coalesce(F.sum("__k").over(every.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    based = sizes.withColumns({"__before": before, "__n": F.sum("__k").over(every)}).drop("__k")
+    inner = F.row_number().over(Window.partitionBy(*by, "__b").orderBy("__d", key))
+    ranked = dealt.join(based, [*by, "__b"]).withColumn("__rank", inner + F.col("__before")).select(*files.columns, "__f", "__rank", "__n")
     whole = F.floor("__f").cast("int")
     part = F.col("__rank") <= F.ceil(F.round(F.col("__n") * (F.col("__f") - whole), 9))
     copies = whole + F.when(part, 1).otherwise(0)
@@ -77,32 +82,38 @@ def group_schedule(frames: DataFrame, batch_size: int, group: int, rank: int = 0
     salt = seed + epoch
     numbered = number_episodes(frames, keys, salt)
     own = numbered.where(F.pmod(F.col("place"), F.lit(world)) == rank)
-    eps = frames.join(own, list(keys)).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(index).alias("i")))).alias("frames"), F.first("place").alias("place"))
-    eps = eps.withColumn("e", F.floor(F.col("place") / world).cast("long")).drop("place")
-    totals = eps.agg(F.count(F.lit(1)).alias("k"), F.sum(F.size("frames")).alias("n")).first()  # two numbers
+    sizes = frames.join(own, list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.first("place").alias("place"))
+    eps = sizes.withColumn("e", F.floor(F.col("place") / world).cast("long")).drop("place")
+    totals = eps.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).first()  # two numbers
     k, n = totals["k"], totals["n"] or 0
     spark = frames.sparkSession
     if k == 0:
         return spark.createDataFrame([], frames.select(F.lit(0).cast("long").alias("batch"), F.lit(0).alias("slot"), *keys, F.lit(0).alias("pos"), index).schema)
     batches = spark.range(max(1, n // max(batch_size, 1))).withColumnRenamed("id", "batch")
-    wanted = batches.select("batch", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
-    # Slots walk through the k episodes from a drawn offset with a drawn stride that has no factor in common with k:
-    # no episode comes twice in a batch while k >= slots, and no table of all (batch, episode) pairs is made.
-    from math import gcd
-
-    strides = [s for s in range(1, min(k, 4096) + 1) if gcd(s, k) == 1]
-    number = lambda what: F.conv(F.substring(draw(salt, F.lit(what), F.col("batch")), 1, 12), 16, 10).cast("long")
-    stride = F.element_at(F.array(*map(F.lit, strides[:512])), (F.pmod(number("stride"), F.lit(min(len(strides), 512))) + 1).cast("int")).cast("long")
+    number = lambda *what: F.conv(F.substring(draw(salt, *what), 1, 12), 16, 10).cast("long")
     if k >= slots:
-        e = F.pmod(number("offset") % k + F.col("slot") * stride, F.lit(k))
+        drawn = _without_replacement(F.lit(k), slots, lambda i: number(F.lit("e"), F.col("batch"), i))
     else:
-        e = F.pmod(F.conv(F.substring(draw(salt, F.lit("any"), F.col("batch"), F.col("slot")), 1, 12), 16, 10).cast("long"), F.lit(k))
-    chosen = wanted.withColumn("e", e).join(eps, "e")
-    keyed = F.transform("frames", lambda f: F.struct(draw(salt, F.col("batch"), F.col("slot"), f["i"]).alias("d"), f["i"].alias("i")))
-    picked = F.array_sort(F.transform(F.slice(F.array_sort(keyed), 1, group), lambda f: f["i"]))
-    padded = F.concat(picked, F.array_repeat(F.element_at(picked, -1), F.lit(group) - F.size(picked)))
-    rows = chosen.withColumn("__p", padded).where(F.size("frames") > 0)
-    return rows.select("batch", "slot", *keys, F.posexplode("__p").alias("pos", index))
+        drawn = F.transform(F.sequence(F.lit(0), F.lit(slots - 1)), lambda i: F.pmod(number(F.lit("any"), F.col("batch"), i), F.lit(k)))
+    chosen = batches.select("batch", F.posexplode(drawn).alias("slot", "e")).join(eps, "e")
+    some = F.array_sort(_without_replacement(F.col("n"), group, lambda i: number(F.lit("f"), F.col("batch"), F.col("slot"), i)))
+    every = F.transform(F.sequence(F.lit(0), F.lit(group - 1)).cast("array<long>"), lambda i: F.least(i, F.col("n") - 1))
+    # Places are drawn from lengths alone; frames are joined to the places drawn, and never gathered by episode.
+    places = chosen.select("batch", "slot", *keys, F.posexplode(F.when(F.col("n") > group, some).otherwise(every)).alias("pos", "__p"))
+    numbered_frames = frames.select(*keys, index, (F.row_number().over(Window.partitionBy(*keys).orderBy(index)) - 1).cast("long").alias("__p"))
+    return places.join(numbered_frames, [*keys, "__p"]).select("batch", "slot", *keys, "pos", index)
+
+
+def _without_replacement(n: Column, size: int, number: Callable[[Column], Column]) -> Column:
+    """``size`` different numbers below ``n``, all sets alike likely: the i-th draw is below n - size + i + 1, and what
+    was drawn before gives way to that range's end. ``number(i)`` draws a large one. Needs n >= size."""
+
+    def add(out: Column, i: Column) -> Column:
+        last = n - size + i
+        t = F.pmod(number(i), last + 1)
+        return F.array_append(out, F.when(F.array_contains(out, t), last.cast("long")).otherwise(t))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(size - 1)), F.expr("cast(array() as array<bigint>)"), add)
 
 
 def stream_schedule(frames: DataFrame, batch_size: int, rank: int = 0, world: int = 1, seed: int = 0, epoch: int = 0, keys: Sequence[str] = ("dataset", "episode_id"), index: str = "frame_index", parallel: bool = False) -> DataFrame:

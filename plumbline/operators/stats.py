@@ -1,7 +1,8 @@
 """Normalisation statistics and weighted means.
 
 Statistics are plain aggregates per dimension (partial and final, so a dataset with most rows is combined where it is
-read). ``exact`` quantiles are the smallest value whose share reaches q; otherwise ``percentile_approx`` bounds memory.
+read). Quantiles are ``percentile_approx`` of bounded memory, off by a rank of one in ``accuracy`` at most; ``exact``
+ones, the smallest value whose share reaches q, hold every distinct value of a group and dimension in one task.
 """
 
 from __future__ import annotations
@@ -11,10 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.operators.sampling import draw
+from plumbline.scratch import written
+
 STATS = ("n", "mean", "std", "q01", "q99", "min", "max")
 
 
-def dimension_stats(df: DataFrame, column: str, by: Sequence[str] = ("dataset",), exact: bool = True, accuracy: int = 10_000, at_least: int = 2) -> DataFrame:
+def dimension_stats(df: DataFrame, column: str, by: Sequence[str] = ("dataset",), exact: bool = False, accuracy: int = 10_000, at_least: int = 2) -> DataFrame:
     """One row per group and dimension of a vector column: ``n, mean, std`` (population), ``q01, q99, min, max``.
 
     Null vectors and null values don't count; groups with fewer than ``at_least`` values are left out. An array of
@@ -59,6 +63,7 @@ def lookup_stats(df: DataFrame, stats: DataFrame, columns: Sequence[str] = ("min
     ``stats(dataset, prompt, ...)`` holds vectors; a null prompt is a dataset's default, a null dataset the overall
     one. The tables are hinted for broadcast only while they have at most ``most_rows`` rows.
     """
+    stats = written(stats)  # looked up at three levels and counted, worked out once
     small = stats.limit(most_rows + 1).count() <= most_rows
     hint = F.broadcast if small else (lambda d: d)
     named = lambda d, level: d.select(*[c for c in ("dataset", "prompt") if c in d.columns], F.struct(*columns).alias(f"__{level}"))
@@ -98,4 +103,4 @@ def last_unmasked(mask: Column) -> Column:
 
 def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: int = 0) -> DataFrame:
     """``n`` rows by hash, the same for every run and partitioning (statistics read all rows by default)."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    return df.orderBy(draw(seed, *map(F.col, keys)), *keys).limit(n)

@@ -6,8 +6,6 @@ reported as their place-weighted sums, which any change of order, padding or val
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,24 +13,11 @@ from plumbline.functions import numeric, text, vec
 from plumbline.operators import batching, memory, relational, sampling, stats
 from plumbline.operators import episode as ep
 from plumbline.plans.pipeline import ActionPlan, normalise_to_text
+from plumbline.plans.registry import ORACLES, QUERIES, query  # noqa: F401
 from plumbline.sources import catalog, media
 from plumbline.sources.events import NON_DELTA, PERIODIC, event_frames
 from plumbline.streaming.events import session_counts, windowed_counts
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -99,7 +84,7 @@ def _deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dataset_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.dimension_stats(_deltas(spark, sf_dir), "action")
+    return stats.dimension_stats(_deltas(spark, sf_dir), "action", exact=True)
 
 
 # Frames and actions.
@@ -244,14 +229,14 @@ def stats_merge_mean(spark, sf_dir):
 ) SELECT dataset, dim, count(*) AS n, round(avg(a), 6) + 0.0 AS mean, round(max(a), 6) + 0.0 AS max FROM c GROUP BY ALL""")
 def stats_of_chunks(spark, sf_dir):
     chunks = ep.add_chunk(_deltas(spark, sf_dir), 4, flat=False)
-    return stats.dimension_stats(chunks, "action").select("dataset", "dim", "n", _r(F.col("mean")).alias("mean"), _r(F.col("max")).alias("max"))
+    return stats.dimension_stats(chunks, "action", exact=True).select("dataset", "dim", "n", _r(F.col("mean")).alias("mean"), _r(F.col("max")).alias("max"))
 
 
 def _level_stats(spark, sf_dir) -> DataFrame:
     """Statistics at three levels: (ds0, one prompt), ds0 and ds1 as a whole, all."""
     deltas = _deltas(spark, sf_dir)
     columns = ["min", "max"]
-    vectors = lambda by, rows: stats.as_vectors(stats.dimension_stats(rows, "action", by), by, columns)
+    vectors = lambda by, rows: stats.as_vectors(stats.dimension_stats(rows, "action", by, exact=True), by, columns)
     prompts = vectors(["dataset", "prompt"], deltas.where("dataset = 'ds0'")).where("prompt = 'handle view'")
     sets = vectors(["dataset"], deltas.where("dataset in ('ds0', 'ds1')")).withColumn("prompt", F.lit(None).cast("string"))
     everything = vectors(["one"], deltas.withColumn("one", F.lit(1))).select(F.lit(None).cast("string").alias("dataset"), F.lit(None).cast("string").alias("prompt"), *columns)
@@ -330,7 +315,7 @@ _TEXT = f"""{_BASE}, {_STAT}, txt AS (
 @query(f"{_TEXT} SELECT episode_id, frame_index, answer FROM txt")
 def action_string(spark, sf_dir):
     deltas = _deltas(spark, sf_dir)
-    table = stats.as_vectors(stats.dimension_stats(deltas, "action"), ["dataset"], ["min", "max"]).withColumn("prompt", F.lit(None).cast("string"))
+    table = stats.as_vectors(stats.dimension_stats(deltas, "action", exact=True), ["dataset"], ["min", "max"]).withColumn("prompt", F.lit(None).cast("string"))
     return normalise_to_text(deltas, table).select("episode_id", "frame_index", "answer")
 
 
@@ -412,34 +397,6 @@ def _bank_rows(spark, sf_dir) -> DataFrame:
     return rows.select(F.lit("cog").alias("role"), F.col("label").cast("string").alias("episode"), F.col("vec_id").cast("double").alias("timestep"), F.col("embedding").cast("array<double>").alias("feat"))
 
 
-@query("""WITH e AS (SELECT label, vec_id, list(CAST(vec_id AS DOUBLE)) OVER w AS t, list(CAST(embedding[1] AS DOUBLE)) OVER w AS x FROM embeddings
-  WINDOW w AS (PARTITION BY label ORDER BY vec_id ROWS BETWEEN 15 PRECEDING AND CURRENT ROW))
-SELECT CAST(label AS VARCHAR) AS episode, CAST(vec_id AS DOUBLE) AS timestep, CAST(len(t) AS INTEGER) AS size, t[1] AS oldest, round(list_sum(x), 6) + 0.0 AS value FROM e""")
-def bank_fifo(spark, sf_dir):
-    banks = memory.bank_fifo(_bank_rows(spark, sf_dir), 16)
-    total = F.aggregate("bank", F.lit(0.0), lambda a, e: a + F.get(e["v"], F.lit(0)))
-    return banks.select("episode", "timestep", F.size("bank").alias("size"), F.get("bank", F.lit(0))["t"].alias("oldest"), _r(total).alias("value"))
-
-
-
-
-@query("""WITH RECURSIVE src AS (
-  SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k, CAST(vec_id AS DOUBLE) AS t, list_transform(embedding[1:8], lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
-), fold(label, k, bank) AS (
-  SELECT label, 1::BIGINT, [{'t': t, 'v': v}] FROM src WHERE k = 1
-  UNION ALL
-  SELECT label, k, CASE WHEN len(l) <= 6 THEN l ELSE list_concat(l[1:p - 1], [{'t': (l[p].t + l[p + 1].t) / 2, 'v': list_transform(range(1, 9), lambda j: (l[p].v[j] + l[p + 1].v[j]) / 2)}], l[p + 2:]) END
-  FROM (SELECT label, k, l, list_position(sims, list_max(sims)) AS p FROM (
-    SELECT label, k, l, list_transform(range(1, len(l)), lambda i: list_cosine_similarity(l[i].v, l[i + 1].v)) AS sims FROM (
-      SELECT s.label, s.k, list_append(f.bank, {'t': s.t, 'v': s.v}) AS l FROM fold f JOIN src s ON s.label = f.label AND s.k = f.k + 1)))
-), ended AS (SELECT f.label, f.bank FROM fold f JOIN (SELECT label, max(k) AS k FROM src GROUP BY label) m ON f.label = m.label AND f.k = m.k)
-SELECT CAST(label AS VARCHAR) AS episode, CAST(i - 1 AS INTEGER) AS place, round(bank[i].t, 6) + 0.0 AS t, round(list_sum(bank[i].v), 6) + 0.0 AS value FROM (SELECT label, bank, unnest(range(1, len(bank) + 1)) AS i FROM ended)""")
-def bank_merge(spark, sf_dir):
-    banks = memory.bank_merge(_bank_rows(spark, sf_dir).withColumn("feat", F.slice("feat", 1, 8)), 6)  # as in its SQL; whole vectors: bank_merge_whole
-    rows = banks.select("episode", F.posexplode("bank").alias("place", "e"))
-    return rows.select("episode", "place", _r(F.col("e.t")).alias("t"), _r(F.aggregate("e.v", F.lit(0.0), lambda a, x: a + x)).alias("value"))
-
-
 @query("""WITH RECURSIVE src AS (
   SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k, CAST(vec_id AS DOUBLE) AS t, embedding::DOUBLE[] AS v FROM embeddings
 ), fold(label, k, bank) AS (
@@ -488,12 +445,6 @@ def call_clock(spark, sf_dir):
     return memory.call_clock(calls, "first", ["user_id"], ["ts", "event_id"]).select("event_id", "episode", "clock")
 
 
-@query(f"""WITH {_EV} SELECT episode_id, frame_index, CAST(k AS INTEGER) AS step, round(CASE k WHEN 0 THEN s0 ELSE s1 END, 6) + 0.0 AS value FROM ev, (SELECT unnest(range(2)) AS k)""")
-def queue_actions(spark, sf_dir):
-    rows = event_frames(spark, sf_dir).withColumn("chunk", vec.unflatten(F.slice("state", 1, 2), 1))
-    return memory.queue_actions(rows, "chunk", ["episode_id", "frame_index"]).select("episode_id", "frame_index", "step", _r(F.get("action", F.lit(0))).alias("value"))
-
-
 @query(f"""WITH {_EV} SELECT episode_id, frame_index, CAST(k AS INTEGER) AS step, round(CASE k WHEN 0 THEN s0 WHEN 1 THEN s1 WHEN 2 THEN s2 ELSE s3 END, 6) + 0.0 AS value FROM ev, (SELECT unnest(range(4)) AS k)""")
 def queue_actions_whole(spark, sf_dir):
     rows = event_frames(spark, sf_dir).withColumn("chunk", vec.unflatten(F.col("state"), 1))
@@ -536,7 +487,25 @@ def tail_replacement(spark, sf_dir):
     return frames.select("episode_id", "frame_index", sampling.tail_frame(F.col("frame_index"), n, 16, 3, F.col("episode_id")).alias("picked"))
 
 
-@query()
+_HASH = "CAST('0x' || substr(md5({0}), 1, 12) AS BIGINT)"
+
+
+@query(f"""WITH RECURSIVE {_EV}, u AS (SELECT dataset, episode_id, any_value(n) AS n FROM ev GROUP BY ALL),
+p AS (SELECT *, row_number() OVER (ORDER BY md5('4|' || dataset || '|' || CAST(episode_id AS VARCHAR)), dataset, episode_id) - 1 AS place FROM u),
+own AS (SELECT dataset, episode_id, n, place // 2 AS e FROM p WHERE place % 2 = 0), t AS (SELECT count(*) AS k, sum(n) AS total FROM own),
+fe(batch, i, k, got) AS (
+  SELECT CAST(unnest(range(greatest(1, total // 64)::BIGINT)) AS BIGINT), 0::BIGINT, k, []::BIGINT[] FROM t
+  UNION ALL SELECT batch, i + 1, k, list_append(got, CASE WHEN list_contains(got, d) THEN k - 8 + i ELSE d END) FROM (
+    SELECT *, {_HASH.format("'4|e|' || CAST(batch AS VARCHAR) || '|' || CAST(i AS VARCHAR)")} % (k - 8 + i + 1) AS d FROM fe WHERE i < 8)
+), picked AS (SELECT batch, CAST(slot AS INTEGER) AS slot, got[slot + 1] AS e FROM fe, (SELECT unnest(range(8)) AS slot) WHERE i = 8),
+chosen AS (SELECT batch, slot, dataset, episode_id, n FROM picked JOIN own USING (e)),
+ff(batch, slot, dataset, episode_id, n, i, got) AS (
+  SELECT batch, slot, dataset, episode_id, n, 0::BIGINT, []::BIGINT[] FROM chosen WHERE n > 8
+  UNION ALL SELECT batch, slot, dataset, episode_id, n, i + 1, list_append(got, CASE WHEN list_contains(got, d) THEN n - 8 + i ELSE d END) FROM (
+    SELECT *, {_HASH.format("'4|f|' || CAST(batch AS VARCHAR) || '|' || CAST(slot AS VARCHAR) || '|' || CAST(i AS VARCHAR)")} % (n - 8 + i + 1) AS d FROM ff WHERE i < 8)
+)
+SELECT batch, slot, dataset, episode_id, CAST(pos AS INTEGER) AS pos, CAST(list_sort(got)[pos + 1] AS INTEGER) AS frame_index FROM ff, (SELECT unnest(range(8)) AS pos) WHERE i = 8
+UNION ALL SELECT batch, slot, dataset, episode_id, CAST(pos AS INTEGER), CAST(least(pos, n - 1) AS INTEGER) FROM chosen, (SELECT unnest(range(8)) AS pos) WHERE n <= 8""")
 def group_schedule(spark, sf_dir):
     frames = event_frames(spark, sf_dir).select("dataset", "episode_id", "frame_index")
     return sampling.group_schedule(frames, 64, 8, rank=0, world=2, seed=1, epoch=3)
@@ -710,20 +679,6 @@ def strided_timesteps(spark, sf_dir):
     return numeric.timestep_table(spark, 1000, "ddim50")
 
 
-@query("""WITH e AS (SELECT vec_id, CAST(embedding[i + 1] AS DOUBLE) AS a, CAST(embedding[i + 33] AS DOUBLE) AS b, i FROM embeddings, (SELECT unnest(range(4)) AS i))
-SELECT vec_id, CAST(i AS INTEGER) AS dim, round(0.25 * a + 0.75 * b, 6) + 0.0 AS lerp, round(a + 1.5 * (b - a), 6) + 0.0 AS guided, round((a + b) / 2, 6) + 0.0 AS mid,
-       round(0.5 * a + 0.5 * b, 6) + 0.0 AS gated, round(a - b, 6) + 0.0 AS target, round(a * pow(0.9, 10), 6) + 0.0 AS integrated FROM e""")
-def vector_blends(spark, sf_dir):
-    v = F.col("embedding").cast("array<double>")
-    a, b = F.slice(v, 1, 4), F.slice(v, 33, 4)
-    made = F.arrays_zip(
-        vec.lerp(0.25, a, b).alias("lerp"), vec.guidance(a, b, 1.5).alias("guided"), vec.midpoint(a, b).alias("mid"), vec.gate_blend(F.array_repeat(F.lit(0.5), 4), a, b).alias("gated"),
-        vec.flow_target(a, b).alias("target"), vec.euler(a, lambda x, t: x, 10).alias("integrated"),
-    )
-    rows = _t(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(made).alias("dim", "x"))
-    return rows.select("vec_id", "dim", *(_r(F.col(f"x.{c}")).alias(c) for c in ("lerp", "guided", "mid", "gated", "target", "integrated")))
-
-
 @query("""WITH e AS (SELECT vec_id, CAST(embedding[i + 1] AS DOUBLE) AS a, CAST(embedding[i + 33] AS DOUBLE) AS b, i FROM embeddings, (SELECT unnest(range(32)) AS i))
 SELECT vec_id, CAST(i AS INTEGER) AS dim, round(0.25 * a + 0.75 * b, 6) + 0.0 AS lerp, round(a + 1.5 * (b - a), 6) + 0.0 AS guided, round((a + b) / 2, 6) + 0.0 AS mid,
        round(0.5 * a + 0.5 * b, 6) + 0.0 AS gated, round(a - b, 6) + 0.0 AS target, round(a * pow(0.9, 10), 6) + 0.0 AS integrated FROM e""")
@@ -925,4 +880,6 @@ def salted_supplier_sums(spark, sf_dir):
 
 #: What entry() runs and the bench reports.
 FLAGSHIP = "action_string"
-HEADLINE = ["action_string", "delta_action", "chunk_last_16", "chunk_cumulative_8", "stats_q01_q99", "stats_fallback_join", "text_sessions", "bank_merge", "client_integrate", "group_schedule", "revenue_by_nation", "near_purchases", "last_signup", "event_sessions", "chat_render", "pad_collate"]
+HEADLINE = ["action_string", "delta_action", "chunk_last_16", "chunk_cumulative_8", "stats_q01_q99", "stats_fallback_join", "text_sessions", "bank_merge_whole", "client_integrate", "group_schedule", "revenue_by_nation", "near_purchases", "last_signup", "event_sessions", "chat_render", "pad_collate"]
+
+from plumbline.plans import file_queries  # noqa: E402,F401 - registers its queries beside these

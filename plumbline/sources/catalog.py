@@ -36,10 +36,16 @@ class Catalog:
             self.entries[full] = made
         return self
 
-    def load(self, folder: str) -> Catalog:
-        """Register every ``*.json`` file of a folder, by file name: ``{prefix?, meta?, datasets}``. Data, not code."""
-        for path in sorted(Path(folder).glob("*.json")):
-            content = json.loads(path.read_text())
+    def load(self, folder: str, spark: SparkSession | None = None, pattern: str = "*.json") -> Catalog:
+        """Register every file of a folder that is named like ``pattern``, by file name: ``{prefix?, meta?, datasets}``. Data, not code.
+        With a session the folder may be in any store that Spark reads."""
+        if spark is None:
+            texts = [path.read_text() for path in sorted(Path(folder).glob(pattern))]
+        else:
+            files = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True).select("value", F.col("_metadata.file_name").alias("name"))
+            texts = [r["value"] for r in sorted(files.collect(), key=lambda r: r["name"])]  # small documents of configuration
+        for text in texts:
+            content = json.loads(text)
             self.register(content["datasets"], content.get("prefix", ""), content.get("meta"))
         return self
 

@@ -11,15 +11,15 @@ from pyspark.sql import types as T
 from plumbline.sources.schema import LINE
 
 
-def read_episodes(spark: SparkSession, path: str, dataset: str, schema: str = LINE, mode: str = "PERMISSIVE") -> DataFrame:
-    """Frames of every ``*.jsonl`` file below ``path``: ``dataset, episode_id, frame_index`` and the line's columns.
+def read_episodes(spark: SparkSession, path: str, dataset: str, schema: str = LINE, mode: str = "PERMISSIVE", pattern: str = "*.jsonl") -> DataFrame:
+    """Frames of every file named like ``pattern`` below ``path``: ``dataset, episode_id, frame_index`` and the line's columns.
 
     ``episode_id`` is the file's path; ``frame_index`` counts its lines (blank ones are skipped) in file order: blocks
     of a file by their start, lines inside a block by Spark's own increasing id, taken right above the scan. Lines that
     don't parse become nulls with the line in ``_corrupt`` (PERMISSIVE) or stop the job (FAILFAST).
     """
     own = schema if mode == "FAILFAST" else f"{schema}, _corrupt string"
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path)
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path)
     raw = lines.select(F.col("_metadata.file_path").alias("episode_id"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__line"), "value").where(F.trim("value") != "")
     w = Window.partitionBy("episode_id").orderBy("__block", "__line")
     parsed = F.from_json("value", own, {"mode": mode, "columnNameOfCorruptRecord": "_corrupt"})
@@ -34,35 +34,35 @@ def quarantine(frames: DataFrame) -> tuple[DataFrame, DataFrame]:
     return frames.where(~bad).drop("_corrupt"), frames.where(bad).select("dataset", "episode_id", "frame_index", "_corrupt")
 
 
-def index_files(spark: SparkSession, path: str) -> DataFrame:
+def index_files(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
     """One row per episode file: ``file, length, modified, lines`` (lines that aren't blank)."""
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path)
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path)
     meta = F.col("_metadata")
     return lines.select(meta["file_path"].alias("file"), meta["file_size"].alias("length"), meta["file_modification_time"].alias("modified"), "value").groupBy("file", "length", "modified").agg(F.count(F.when(F.trim("value") != "", 1)).alias("lines"))
 
 
-def file_listing(spark: SparkSession, path: str) -> DataFrame:
+def file_listing(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFrame:
     """``file, length, modified`` without reading contents."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
     return files.select(F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified"))
 
 
-def index_is_current(spark: SparkSession, path: str, index: DataFrame) -> bool:
+def index_is_current(spark: SparkSession, path: str, index: DataFrame, pattern: str = "*.jsonl") -> bool:
     """Whether the listing equals the index in path, length and time of every file."""
-    here, there = file_listing(spark, path), index.select("file", "length", "modified")
+    here, there = file_listing(spark, path, pattern), index.select("file", "length", "modified")
     return here.exceptAll(there).isEmpty() and there.exceptAll(here).isEmpty()
 
 
-def cached_index(spark: SparkSession, path: str, cache: str) -> DataFrame:
+def cached_index(spark: SparkSession, path: str, cache: str, pattern: str = "*.jsonl") -> DataFrame:
     """The index from its Parquet side table, built again when any file has changed."""
     try:
         index = spark.read.parquet(cache)
-        if index_is_current(spark, path, index):
+        if index_is_current(spark, path, index, pattern):
             return index
     except Exception as e:  # no cache yet
         if "PATH_NOT_FOUND" not in str(e):
             raise
-    fresh = index_files(spark, path)
+    fresh = index_files(spark, path, pattern)
     fresh.write.mode("overwrite").parquet(cache)
     return spark.read.parquet(cache)
 
@@ -107,7 +107,7 @@ def read_stats(spark: SparkSession, path: str, dataset: str | None = None, requi
     return stats_from_json(spark, text, dataset)
 
 
-def infer_views(spark: SparkSession, path: str, prefixes: tuple[str, ...] = ("images", "depths")) -> list[str]:
+def infer_views(spark: SparkSession, path: str, prefixes: tuple[str, ...] = ("images", "depths"), pattern: str = "*.jsonl") -> list[str]:
     """Names of the views in a folder's files, from a schema-only read."""
-    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").json(path).schema
+    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).json(path).schema
     return sorted(f.name for f in found if f.name.startswith(prefixes) and isinstance(f.dataType, T.StructType))

@@ -78,6 +78,112 @@ def decode(by_url: DataFrame, files: DataFrame, decoder: Decoder) -> DataFrame:
     return joined.mapInArrow(run, "url string, frame_idx int, pixels binary")
 
 
+def decode_paths(by_url: DataFrame, decoder: Decoder) -> DataFrame:
+    """Like :func:`decode`, but only paths move: each file is opened where its requests are, through Arrow's
+    filesystems. For files of any size in stores that executors can open; otherwise a scan of them goes to ``decode``."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    def run(batches):
+        for batch in batches:
+            for kind, url, frames in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                store, path = (fs.LocalFileSystem(), "/" + url.removeprefix("file:").lstrip("/")) if url.startswith(("file:", "/")) else fs.FileSystem.from_uri(url)
+                with store.open_input_stream(path) as stream:
+                    found = list(decoder(kind, stream.read(), frames))
+                yield pa.RecordBatch.from_arrays([pa.array([url] * len(found), pa.string()), pa.array([i for i, _ in found], pa.int32()), pa.array([p for _, p in found], pa.binary())], names=["url", "frame_idx", "pixels"])
+
+    return by_url.select("type", "url", "frames").mapInArrow(run, "url string, frame_idx int, pixels binary")
+
+
+def _netpbm(content: bytes) -> Iterator[tuple[int, int, int, bytes]]:
+    """(width, height, maximum, samples) of every image of a binary netpbm file; several images make a video."""
+    at = 0
+    while at < len(content):
+        head: list[bytes] = []
+        while len(head) < 4:  # magic, width, height, maximum, with comments between them
+            while content[at : at + 1].isspace():
+                at += 1
+            if content[at : at + 1] == b"#":
+                at = content.index(b"\n", at)
+                continue
+            end = at
+            while end < len(content) and not content[end : end + 1].isspace():
+                end += 1
+            if end == at:
+                raise ValueError("the netpbm header is cut short")
+            head.append(content[at:end])
+            at = end
+        if head[0] not in (b"P5", b"P6"):
+            raise ValueError("not a binary netpbm file")
+        width, height, most = (int(x) for x in head[1:])
+        at += 1
+        size = width * height * (3 if head[0] == b"P6" else 1) * (2 if most > 255 else 1)
+        if at + size > len(content):
+            raise ValueError("the netpbm file is cut short")
+        yield width, height, most, content[at : at + size]
+        at += size
+        while content[at : at + 1].isspace():
+            at += 1
+
+
+def netpbm_decoder(kind: str, content: bytes, frames: list[int]) -> Iterator[tuple[int, bytes]]:
+    """Frames of uncompressed images and videos: PPM (8-bit RGB) and PGM (8 or 16-bit grey, as for depth), one after
+    the other in a file. ``pixels`` are the samples, 16-bit ones little-endian. An image is its frame 0; a frame
+    beyond the end has no pixels, and decoding stops at the last frame asked for."""
+    wanted = set(frames)
+    for i, (_, _, most, samples) in enumerate(_netpbm(content)):
+        if i in wanted:
+            swapped = bytearray(samples)
+            if most > 255:
+                swapped[0::2], swapped[1::2] = samples[1::2], samples[0::2]
+            yield i, bytes(swapped)
+        if i >= max(wanted, default=-1):
+            return
+
+
+def library_decoder(kind: str, content: bytes, frames: list[int]) -> Iterator[tuple[int, bytes]]:
+    """Netpbm files as above; other images through Pillow and other videos and depth videos (16-bit grey) through PyAV,
+    where these are installed."""
+    if content[:2] in (b"P5", b"P6"):
+        yield from netpbm_decoder(kind, content, frames)
+    elif kind == "image":
+        import io
+
+        from PIL import Image
+
+        yield 0, Image.open(io.BytesIO(content)).convert("RGB").tobytes()
+    else:
+        import io
+
+        import av
+
+        wanted, shape = set(frames), "gray16le" if kind == "depth" else "rgb24"
+        with av.open(io.BytesIO(content)) as video:
+            for i, frame in enumerate(video.decode(video=0)):
+                if i in wanted:
+                    yield i, frame.to_ndarray(format=shape).tobytes()
+                if i >= max(wanted, default=-1):
+                    return
+
+
+def zip_views(*views: Column, names: Sequence[str] | None = None, strict: bool = True) -> Column:
+    """Arrays of views side by side, place by place. ``strict``: arrays of several lengths raise; otherwise the
+    shortest ends the others."""
+    sizes = [F.size(v) for v in views]
+    shortest = F.least(*sizes) if len(sizes) > 1 else sizes[0]
+    longest = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
+    cut = F.arrays_zip(*(F.slice(v, F.lit(1), shortest).alias(n) for v, n in zip(views, names or [f"view_{i}" for i in range(len(views))], strict=True)))
+    return F.when(shortest == longest, cut).otherwise(F.raise_error(F.lit("views of several lengths"))) if strict else cut
+
+
+def per_view(values: Column, functions: Callable[[Column], Column] | Sequence[Callable[[Column], Column]]) -> Column:
+    """A function of every view, or one function for each place (the last one for all further places)."""
+    if callable(functions):
+        return F.transform(values, functions)
+    out = lambda v, i, rest: rest[0](v) if len(rest) == 1 else F.when(i == len(functions) - len(rest), rest[0](v)).otherwise(out(v, i, rest[1:]))
+    return F.transform(values, lambda v, i: out(v, i, list(functions)))
+
+
 def passthrough_decoder(kind: str, content: bytes, frames: list[int]) -> Iterator[tuple[int, bytes]]:
     """The whole file for every frame asked for: for tests and for images that are decoded later."""
     for i in frames:

@@ -32,3 +32,18 @@ def read_events(spark, folder: str) -> DataFrame:
 def replay_requests(requests: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str):
     """Replay a request stream through ``handle(batch, id)``, such as a model call and its reply sink."""
     return requests.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def with_retry(function: Callable, attempts: int = 40, errors: tuple[type[Exception], ...] = (Exception,)) -> Callable:
+    """``function`` called again after an error, at most ``attempts`` times in all; the last error is raised. For calls
+    out of a batch handler; lost tasks are Spark's own to repeat."""
+
+    def run(*args, **kw):
+        for left in range(attempts - 1, -1, -1):
+            try:
+                return function(*args, **kw)
+            except errors:
+                if not left:
+                    raise
+
+    return run

@@ -129,6 +129,13 @@ def integrate_stream(df: DataFrame, **options) -> DataFrame:
     return df.groupBy("episode").transformWithStateInPandas(statefulProcessor=Integrator(**options), outputStructType="episode string, seq long, action array<double>", outputMode="append", timeMode="None")
 
 
+def run_to_files(df: DataFrame, folder: str) -> DataFrame:
+    """Run a stream over all that is there into Parquet files below ``folder`` (results of any size) and return them."""
+    query = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start(f"{folder}/rows")
+    query.awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows")
+
+
 def run_available(df: DataFrame, name: str, checkpoint: str) -> DataFrame:
     """Run a stream over all that is there into an in-memory table (for tests and small results) and return it."""
     query = df.writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
