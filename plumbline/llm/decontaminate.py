@@ -25,13 +25,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from plumbline.llm.store import keep, map_arrow
 
 WINDOW = 10
 SEGMENT_BYTES = 1 << 21
 ITEM_BYTES = 16 << 20
-INDEX_SCHEMA = "segment long, doc_ids array<long>, starts array<int>, terms array<string>, offsets array<int>, positions binary"
+INDEX_SCHEMA = "segment long, doc_ids array<{id}>, starts array<int>, terms array<string>, offsets array<int>, positions binary"
 #: Word bytes are 0-9, a-z after A-Z has been lower-cased, and all of 0x80 and above; the rest separates.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -64,7 +65,7 @@ def _segment(ids: pa.Array, texts: pa.Array, number: int) -> pa.RecordBatch:
     order = np.argsort(codes, kind="stable")
     offsets = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(terms)))]).astype(np.int32)
     one = lambda values, kind: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
-    columns = [pa.array([number], pa.int64()), one(ids, pa.int64()), one(starts, pa.int32()), one(terms, pa.string()), one(offsets, pa.int32()), pa.array([at[order].tobytes()], pa.binary())]
+    columns = [pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), one(starts, pa.int32()), one(terms, pa.string()), one(offsets, pa.int32()), pa.array([at[order].tobytes()], pa.binary())]
     return pa.RecordBatch.from_arrays(columns, names=["segment", "doc_ids", "starts", "terms", "offsets", "positions"])
 
 
@@ -91,9 +92,13 @@ def _index_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Segments of the positional index of ``docs``, written to the shared folder and read from there."""
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return keep(map_arrow(narrow, _index_batches, INDEX_SCHEMA))
+    """Segments of the positional index of ``docs``, written to the shared folder and read from there.
+
+    Ids of whole numbers are kept as long, those of text or binary as they are."""
+    kind = docs.schema[id_col].dataType
+    own = kind.simpleString() if isinstance(kind, StringType | BinaryType) else "long"
+    narrow = docs.select(F.col(id_col).cast(own).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return keep(map_arrow(narrow, _index_batches, INDEX_SCHEMA.format(id=own)))
 
 
 @dataclass
@@ -166,7 +171,7 @@ def _near(seg: _Reader, terms: np.ndarray, slop: int) -> tuple[np.ndarray, np.nd
 
 
 def _search_batches(sent, slop: int | None):
-    schema = pa.schema([("segment", pa.int64()), ("ord", pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("runs", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))), ("items", pa.list_(pa.string()))])
+    runs_type, items_type = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])), pa.list_(pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: _Items = pickle.loads(sent.value)
@@ -203,16 +208,16 @@ def _search_batches(sent, slop: int | None):
                         pa.array(np.arange(n, dtype=np.int32)),
                         seg.doc_ids,
                         pa.array(np.diff(seg.starts) - 1),
-                        pa.array([runs.get(d, []) for d in range(n)], schema.field("runs").type),
-                        pa.array([sorted(owned.get(d, ())) for d in range(n)], schema.field("items").type),
+                        pa.array([runs.get(d, []) for d in range(n)], runs_type),
+                        pa.array([sorted(owned.get(d, ())) for d in range(n)], items_type),
                     ],
-                    schema=schema,
+                    names=["segment", "ord", "doc_id", "n_words", "runs", "items"],
                 )
 
     return run
 
 
-_FOUND = "segment long, ord int, doc_id long, n_words long, runs array<struct<a:int,b:int>>, items array<string>"
+_FOUND = "segment long, ord int, doc_id {id}, n_words long, runs array<struct<a:int,b:int>>, items array<string>"
 
 
 def _count_batches(sent):
@@ -236,7 +241,7 @@ def _pass(index: DataFrame, rows: list, window: int, slop: int | None) -> DataFr
     items.rank = np.zeros(max(1, len(items.vocabulary)), np.int64)
     for term, n in counted.groupBy("term").agg(F.sum("n")).collect():  # at most a row per word of this block's items
         items.rank[term] = n
-    return map_arrow(index, _search_batches(context.broadcast(pickle.dumps(items)), slop), _FOUND)
+    return map_arrow(index, _search_batches(context.broadcast(pickle.dumps(items)), slop), _FOUND.format(id=index.schema["doc_ids"].dataType.elementType.simpleString()))
 
 
 def search(index: DataFrame, items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, slop: int | None = None) -> DataFrame:

@@ -185,8 +185,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     component_id is the smallest doc_id reachable over links, the row's own included. Null and empty texts have
     fingerprint zero and link like any other. Repeated rows and repeated ids give a row each. A null id gets its
-    fingerprint; its component is that of the other rows of its fingerprint, or null if there is none. Other columns
-    of ``docs`` are not read.
+    fingerprint; its component is that of the other rows of its fingerprint, or null if there is none. Ids are cast to
+    long (one that isn't a number is an error). Other columns of ``docs`` are not read.
     """
     prints = keep(fingerprints(docs, id_col, text_col))
     nodes = keep(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")))
@@ -194,3 +194,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = keep(nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(roots, "fp", "left").select("doc_id", hexed, "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near-duplicates, with all columns: the least id's (nulls last; of equal ids and texts any).
+
+    Near-duplicates share 0.8 of their five-word shingles, or are linked by such pairs. Pairs within four bits of the
+    SimHash over five-word shingles are candidates, found by pigeonhole blocks; but at a likeness of 0.8 fingerprints
+    differ in 7 to 9 bits and more, too many for blocks that still tell texts apart, so signature bands of MinHash
+    give candidates besides. All candidates are verified. Null and empty texts are one group.
+    """
+    from plumbline.llm.minhash import TOLD, text_classes
+
+    key, text = "__text_key", F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    _, classes = text_classes(docs, id_col, text_col, simhash=True)
+    order = F.struct(F.col("least_id").isNull(), "least_id", "text_key")
+    chosen = classes.groupBy("root").agg(F.min_by("text_key", order).alias("first"))
+    # What becomes of a text, for those with copies or near copies: all rows go, or one row stays.
+    fates = keep(classes.join(chosen, "root").withColumn("stays", F.col("first") == F.col("text_key")).where("not stays or n_rows > 1").select(F.col("text_key").alias(key), "stays"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.unhex(F.sha2(text.cast("binary"), 256)).alias(key))
+    alone, met = rows.limit(0), rows
+    if fates.count() <= TOLD:
+        # All tasks know the hashes of these texts, so that no other text moves; the key itself decides below.
+        hashes, own = F.broadcast(fates.select(F.xxhash64(key).alias("__h")).distinct()), rows.withColumn("__h", F.xxhash64(key))
+        alone, met = own.join(hashes, "__h", "left_anti").drop("__h"), own.join(hashes, "__h", "left_semi").drop("__h")
+    told = met.join(fates, key, "left")
+    # Rows of a repeated text are reduced before they are shuffled.
+    first = F.struct(F.col(f"row.`{id_col}`").isNull(), F.col(f"row.`{id_col}`"))
+    one = told.where("stays").groupBy(F.struct(key).alias("k")).agg(F.min_by("row", first).alias("row"))
+    return alone.select("row.*").union(told.where("stays is null").select("row.*")).union(one.select("row.*"))

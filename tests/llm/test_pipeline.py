@@ -97,3 +97,75 @@ def test_empty_corpus(spark, corpus):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs, folder).collect() == []
+
+
+def test_stages_against_brute_force(spark, corpus):
+    """Each stage's rows from its own input, worked out in plain Python."""
+    folder, _ = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.text or "")
+
+    from plumbline.llm import quality
+
+    model = quality.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    before = docs.collect()
+    good = [r for r, s in zip(before, quality.scores(model, [r.text for r in before]), strict=True) if s >= quality.THRESHOLD]
+    kept = pipeline.keep(pipeline.quality_stage(spark, docs, folder))
+    assert sorted(map(key, kept.collect())) == sorted(map(key, good))
+
+    # One row of each class of texts that share 0.8 of their five-word shingles.
+    rows = kept.collect()
+    texts = sorted({r.text or "" for r in rows})
+    sets = []
+    for t in texts:
+        words = re.sub("[A-Z]", lambda c: c[0].lower(), t).split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            union = len(sets[i] | sets[j])
+            if (len(sets[i] & sets[j]) / union if union else 1) >= 0.8:
+                root[find(i)] = find(j)
+    classes = {}
+    for r in rows:
+        classes.setdefault(find(texts.index(r.text or "")), []).append(r)
+    assert any(len(c) > 1 for c in classes.values())
+    left = pipeline.keep(pipeline.near_duplicate_stage(spark, kept, folder))
+    want = sorted((min((r.doc_id is None, r.doc_id or 0) for r in c), True) for c in classes.values())
+    assert sorted(((r.doc_id is None, r.doc_id or 0), True) for r in left.collect()) == want
+
+    # Rows in which ten consecutive words of an item occur go.
+    word = re.compile(r"[0-9a-z\x80-\U0010ffff]+")
+    plain = lambda t: word.findall(re.sub("[A-Z]", lambda c: c[0].lower(), t or ""))
+    windows = set()
+    for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect():
+        w = plain(r.text)
+        windows |= {tuple(w[i : i + 10]) for i in range(max(1, len(w) - 9))} if w else set()
+    hit = lambda t: any(tuple(plain(t)[i : i + n]) in windows for n in {len(w) for w in windows} for i in range(len(plain(t)) - n + 1))
+    clean = pipeline.keep(pipeline.decontamination_stage(spark, left, folder))
+    assert sorted(map(key, clean.collect())) == sorted(key(r) for r in left.collect() if not hit(r.text))
+    assert clean.count() < left.count()
+
+    # All rows go on, and only those with personal data change.
+    out = {key(r)[:2]: r for r in pipeline.pii_stage(spark, clean, folder).collect()}
+    for r in clean.collect():
+        new = out[key(r)[:2]]
+        assert (new.text != r.text) == ("@mail.example.com" in (r.text or "")) and new.n_chars == (r.n_chars if new.text == r.text else len(new.text))
+    assert len(out) == clean.count()
+
+
+def test_rows_of_clashing_names_and_equal_ids(spark):
+    """Copies under one id, under several and under none leave one row each; columns named like the stage's own stay."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    rows = [(1, text(1), "a", 1), (1, text(1), "b", 2), (2, text(1), "c", 3), (None, text(2), "d", 4), (None, text(2), "e", 5), (3, text(3), "f", 6), (3, text(4), "g", 7), (None, None, "h", 8), (4, "", "i", 9), (5, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __text_key string, row int")
+    left = pipeline.near_duplicate_stage(spark, docs, "")
+    assert left.columns == docs.columns
+    got = sorted((str(r.doc_id), r.text) for r in left.select("doc_id", "text").collect())
+    assert got == sorted([("1", text(1)), ("None", text(2)), ("3", text(3)), ("3", text(4)), ("4", "")])
