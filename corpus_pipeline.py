@@ -1,24 +1,20 @@
 """The corpus pipeline: quality, near-duplicates, benchmark passages, personal data, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
-one's docs. All but the last return the columns of ``docs``. Rows are told apart by a hash of id and text, so null and
+one's docs. All but the last return the columns of ``docs``. Texts are told apart by their SHA-256, so null and
 repeated ids need no care: what is decided about a text holds for each of its rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, minhash, packing, pii, quality
+from plumbline.llm import decontaminate, packing, pii, quality, simhash
 from plumbline.llm.store import keep
 
 PII_KEY = "corpus-pipeline"
-_ROW = "__row"
-
-
-def _with_row(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(_ROW, F.xxhash64("doc_id", "text"))
+_KEY = "__text_key"
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,32 +24,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that of the least row hash; of equal rows, one.
-
-    Near-duplicates share 0.8 of their five-word shingles (verified Jaccard) or are linked by such pairs. Few bits of a
-    SimHash can't find them: at that likeness fingerprints differ in 7 to 9 bits and more, too many for pigeonholes.
-    """
-    rows = _with_row(docs)
-    groups = keep(minhash.near_duplicates(rows, id_col=_ROW).withColumnRenamed("class_id", "component_id"))
-    gone = keep(groups.where("doc_id <> component_id").select(F.col("doc_id").alias(_ROW)).distinct())
-    repeated = keep(groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(_ROW)))
-    left = rows.join(gone, _ROW, "left_anti")
-    if repeated.isEmpty():
-        return left.select(*docs.columns)
-    # Equal rows: numbered in salted shares first, so that a row repeated very often isn't one task's work.
-    share = F.pmod(F.monotonically_increasing_id(), F.lit(64))
-    first = Window.partitionBy(_ROW, "__share").orderBy(F.lit(0))
-    several = left.join(repeated, _ROW, "left_semi").withColumn("__share", share).withColumn("__n", F.row_number().over(first)).where("__n = 1")
-    one = several.withColumn("__n", F.row_number().over(Window.partitionBy(_ROW).orderBy("__share"))).where("__n = 1")
-    return left.join(repeated, _ROW, "left_anti").select(*docs.columns).union(one.select(*docs.columns))
+    """One document of each group of near-duplicates: 0.8 of their five-word shingles are shared, or such pairs link them."""
+    return simhash.keep_one(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    rows = _with_row(docs)
-    found = decontaminate.search(decontaminate.build_index(rows, id_col=_ROW), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = keep(found.where(F.size("runs") > 0).select(F.col("doc_id").alias(_ROW)).distinct())
-    return rows.join(gone, _ROW, "left_anti").select(*docs.columns)
+    names = docs.columns
+    key = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias(_KEY)
+    found = decontaminate.search(decontaminate.build_index(docs.select(key, "text"), id_col=_KEY), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = keep(found.where(F.size("runs") > 0).select(F.col("doc_id").alias(_KEY)).distinct())
+    return docs.select(F.struct(*names).alias("row"), key).join(gone, _KEY, "left_anti").select("row.*")
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
