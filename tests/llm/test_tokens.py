@@ -193,3 +193,72 @@ def test_packed_documents(spark):
     total = sum(r.length for r in got)
     assert len(pieces) <= -(-total // 4096) + 1
     assert packing.pack_documents(table.limit(0)).collect() == []
+
+
+def test_repair_goes_on_until_no_pair_is_frequent():
+    """A passage of 600 tokens in many documents ends as a few symbols; no pair is left that occurs often enough."""
+    rng = np.random.default_rng(5)
+    passage = rng.integers(0, 40, 600)
+    docs = [np.concatenate([rng.integers(0, 40, rng.integers(0, 30)), passage, rng.integers(0, 40, rng.integers(1, 30))]).astype("<u4") for _ in range(100)]
+    ends = np.cumsum([len(d) for d in docs])
+    symbols, firsts, rules = tokenfile.compress(np.concatenate(docs), ends, 50)
+    assert max(tokenfile.Shard(tokenfile.pack_shard(list(range(100)), np.concatenate(docs), ends, 50)).grown) > 100
+    assert len(symbols) < 4000
+    counts = {}
+    for a, b in zip(firsts, firsts[1:], strict=False):
+        i, row = 0, symbols[a:b].tolist()
+        while i + 1 < len(row):
+            pair = row[i], row[i + 1]
+            counts[pair] = counts.get(pair, 0) + 1
+            i += 2 if i + 2 < len(row) and row[i + 2] == row[i] == row[i + 1] else 1
+    assert max(counts.values()) < 2 * tokenfile.FREQUENT
+
+
+def test_shards_keep_missing_and_least_ids():
+    ids, ends = np.arange(6, dtype="<u4"), np.array([1, 3, 6])
+    shard = tokenfile.Shard(tokenfile.pack_shard([None, -(2**63), 5], ids, ends, 50))
+    assert shard.nulls == 1 and shard.doc_ids.tolist()[1:] == [-(2**63), 5]
+    assert [shard.document(i).tolist() for i in range(3)] == [[0], [1, 2], [3, 4, 5]]
+
+
+def test_the_search_beats_best_fit_at_full_capacity():
+    """Perfect fives: best fit needs a sequence more, the search finds the perfect packing."""
+    import random
+
+    from plumbline.llm import packing
+
+    draw = random.Random(1)
+    counts = np.zeros(4097, np.int64)
+    for _ in range(36):
+        while True:
+            cuts = [0, *sorted(draw.sample(range(1, 4096), 4)), 4096]
+            parts = [b - a for a, b in zip(cuts, cuts[1:], strict=False)]
+            if min(parts) > 273:
+                break
+        for x in parts:
+            counts[x] += 1
+    assert sum(k for _, k in packing.best_fit(counts, 4096)) == 37
+    found = packing.pack_histogram(counts, nodes=400, steps=400)
+    assert sum(k for _, k in found) == packing.lower_bound(counts, 4096) == 36
+    back = np.zeros_like(counts)
+    for pattern, k in found:
+        assert sum(pattern) <= 4096
+        np.add.at(back, list(pattern), k)
+    assert (back == counts).all()
+
+
+def test_spans_and_documents_from_an_open_file():
+    import io
+
+    rng = np.random.default_rng(2)
+    docs = [np.tile(rng.integers(0, 9, rng.integers(1, 30)), rng.integers(1, 40)).astype("<u4") for _ in range(60)]
+    plain, ends = np.concatenate(docs), np.cumsum([len(d) for d in docs])
+    content = tokenfile.pack_shard(list(range(60)), plain, ends, 50)
+    shard = tokenfile.Shard(content)
+    for _ in range(200):
+        a, b = sorted(rng.integers(-3, len(plain) + 4, 2).tolist())
+        assert shard.span(a, b).tolist() == plain[max(a, 0) : max(b, 0)].tolist()
+    for i in (0, 17, 59):
+        assert tokenfile.read_document(io.BytesIO(content), i).tolist() == docs[i].tolist()
+    with pytest.raises(IndexError):
+        tokenfile.read_document(io.BytesIO(content), 60)
