@@ -2,7 +2,9 @@
 
 Only the histogram (at most ``capacity`` numbers, whatever the corpus) is packed on the driver. The first incumbent is
 the best-fit solution. Where that misses the lower bound, short searches over a few likely fillings, at most ``nodes``
-in all, look for a better one. What they leave open goes to the complete search: around the largest remaining length it
+in all, look for a better one, and small parts of the incumbent are completed anew, the largest length of a part first
+and around it the filling of least waste, where that gathers the waste in fewer sequences, until one is empty
+(``PARTS`` times at most). What they leave open goes to the complete search: around the largest remaining length it
 enumerates all undominated fillings of the rest of a sequence, of any number of pieces, by least waste. A filling is
 dominated if some of its pieces, or none, can give way to one longer or equal piece that is left over. Each filling is
 used as often as the histogram allows, then less often; sequences of one largest length come in a fixed order. A branch
@@ -17,7 +19,9 @@ salted groups (length, salt) and the salts' offsets, so one very common length i
 from __future__ import annotations
 
 import pickle
+import random
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,11 +35,14 @@ from plumbline.llm.tokens import WORD_BPE, encoder, gathered
 CAPACITY = 4096
 END = 1
 NODES = 40_000
+#: Parts of the incumbent that are completed anew, and sequences that these are drawn from.
+PARTS, DRAWN = 40_000, 20_000
 #: Steps of the complete search, the only thing besides waste and lower bounds that ends it.
 STEPS = 200_000
 #: Orders in which branches are tried, one search for each; see _fillings.
 THRIFT = (0.0, 1.0, 4.0, 16.0)
-SALTS = 256
+#: Shares of each length that are ranked by themselves, at least, and rows of a share on average, at most.
+SALTS, SHARE = 256, 1_000_000
 #: Pieces that the tokenizer's memory keeps in each generation, and characters split at once: fewer than for token
 #: files, since the packing stage follows others in the same Python workers.
 MEMORY, TOGETHER = 120_000, 5 << 19
@@ -147,6 +154,8 @@ def pack_histogram(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NO
         if sum(k for _, k in best) <= least:
             break
         best = _search(counts, capacity, best, least, thrift, nodes // len(THRIFT))
+    if sum(k for _, k in best) > least:
+        best = _complete_parts(best, capacity, least)
     if sum(k for _, k in best) > least:
         best = _complete_search(counts, capacity, best, least, steps)
     return best
@@ -199,6 +208,64 @@ def _search(counts: np.ndarray, capacity: int, best: Solution, least: int, thrif
     return best
 
 
+def _least_waste(lengths: list[int], room: int) -> list[int]:
+    """Places of lengths that add up to the most that ``room`` holds."""
+    mask, reach = (1 << (room + 1)) - 1, [1]
+    for x in lengths:
+        reach.append((reach[-1] | reach[-1] << x) & mask)
+    total, out = reach[-1].bit_length() - 1, []
+    for i in range(len(lengths) - 1, -1, -1):
+        if not reach[i] >> total & 1:
+            out.append(i)
+            total -= lengths[i]
+    return out
+
+
+def _complete_parts(best: Solution, capacity: int, least: int) -> Solution:
+    """The incumbent with three to five sequences at a time completed anew, some with waste among them. What comes out
+    is taken if it has fewer sequences, or if its waste is no less gathered than before (by the squares of the sums)."""
+    draw = random.Random(capacity)
+    by_waste = sorted(best, key=lambda p: sum(p[0]))
+    bins: list[list[int]] = []
+    rest: Solution = []
+    for pattern, k in by_waste:
+        here = min(k, DRAWN - len(bins))
+        bins += [list(pattern) for _ in range(here)]
+        if k > here:
+            rest.append((pattern, k - here))
+    least -= sum(k for _, k in rest)
+    sums = [sum(b) for b in bins]
+    for _ in range(PARTS):
+        wasteful = [i for i, s in enumerate(sums) if s < capacity]
+        if len(bins) <= least or len(wasteful) < 2:
+            break
+        part = dict.fromkeys(draw.sample(wasteful, min(len(wasteful), draw.randint(1, 2))))
+        size = min(len(bins), draw.randint(3, 5))
+        while len(part) < size:
+            part[draw.randrange(len(bins))] = None
+        places = list(part)
+        lengths = [x for i in places for x in bins[i]]
+        draw.shuffle(lengths)
+        made: list[list[int]] = []
+        while lengths:
+            top = lengths.pop(max(range(len(lengths)), key=lengths.__getitem__))
+            filling = _least_waste(lengths, capacity - top)
+            made.append([top, *(lengths[i] for i in filling)])
+            for i in filling:  # from the last place to the first
+                lengths.pop(i)
+        new = [sum(b) for b in made]
+        if len(made) > len(places) or (len(made) == len(places) and sum(s * s for s in new) < sum(sums[i] ** 2 for i in places)):
+            continue
+        for i, b, s in zip(places, made, new, strict=False):
+            bins[i], sums[i] = b, s
+        for i in sorted(places[len(made) :], reverse=True):
+            bins[i], sums[i] = bins[-1], sums[-1]
+            bins.pop()
+            sums.pop()
+    patterns = Counter(tuple(sorted(b, reverse=True)) for b in bins)
+    return [*rest, *patterns.items()]
+
+
 class _Steps:
     """What is left of the complete search's budget."""
 
@@ -406,9 +473,10 @@ def pack(pieces: DataFrame, order: list[str], capacity: int = CAPACITY, nodes: i
     """Adds ``sequence_id long, offset long`` to a *written* table with a ``length long`` column from 1 to capacity.
 
     ``order`` names columns that tell rows of one length apart; rows equal in all of them are interchangeable. The
-    table is read twice. An empty table stays empty.
+    table is read twice (and counted from its footers). An empty table stays empty.
     """
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)).cast("int"))
+    salts = max(SALTS, -(-pieces.count() // SHARE))  # so that no share of one length is longer, whatever the corpus
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
     groups = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     counts = np.zeros(capacity + 1, np.int64)
     for row in groups.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most ``capacity`` rows
@@ -443,7 +511,8 @@ def _piece_batches(name: str, end: int, capacity: int):
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = WORD_BPE, end: int = END, capacity: int = CAPACITY) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)``: every document's ids and its end id, cut only where longer than
-    the capacity. Null and empty texts are a piece of the end id alone; a null id stays null. Written and re-read."""
+    the capacity. Null and empty texts are a piece of the end id alone; a null id stays null. Ids are cast to long (one that isn't a number is an
+    error). Written and re-read."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return keep(map_arrow(narrow, _piece_batches(tokenizer, end, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long"))
 
