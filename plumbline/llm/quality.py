@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from plumbline.llm.labels import held_out, training_sample
 from plumbline.llm.store import map_arrow
 
-#: Bounds of what is gathered for training: rows of each label and characters of each text.
-PER_CLASS, CHARS = 1500, 8000
+#: Bound of what is gathered for training: rows of each label, with whole texts.
+PER_CLASS = 1500
 BLOCK = 512
 DICT_BYTES = 112 * 1024
 LEVEL = 3
@@ -99,9 +99,9 @@ def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, rounds: int = 50) ->
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, chars: int = CHARS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """Train on at most ``per_class`` labelled rows of each quality: a half makes the dictionaries, a half calibrates."""
-    rows = training_sample(docs, labels, ["quality"], per_class, chars)
+    rows = training_sample(docs, labels, ["quality"], per_class)
     classes = [[r["text"] for r in rows if r["quality"] == q] for q in (0, 1)]
     halves = [(c[::2], c[1::2] or c) for c in classes]
     bad, good = (_dictionary(h[0], DICT_BYTES, BLOCK) for h in halves)

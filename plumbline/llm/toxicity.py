@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from plumbline.llm.labels import held_out, training_sample
 from plumbline.llm.store import map_arrow
 
-#: Bounds of what is gathered for training: rows of each combination of labels and characters of each text.
-PER_CLASS, CHARS = 3000, 8000
+#: Bound of what is gathered for training: rows of each combination of labels, with whole texts.
+PER_CLASS = 3000
 DIM = 1 << 16
 FOLDS = 5
 THRESHOLD = 0.3
@@ -117,33 +117,54 @@ def _link(w: np.ndarray, x: _Rows, extra: np.ndarray) -> np.ndarray:
     return _sigmoid(x.dot(w[:DIM]) + extra @ w[DIM : DIM + k] + w[-1])
 
 
-def _train(texts: list[str], ids: list[int], targets: np.ndarray, names: list[str]) -> Chain:
+def _train(texts: list[str], ids: list[int], targets: np.ndarray, names: list[str], spark=None) -> Chain:
+    """Fit the chain. A link's own fit and those without a fold each don't depend on each other: with a session they
+    are tasks of one job, which get the rows as a broadcast of the training sample's size."""
     places = _Places()
     x = _Rows([places.of(t) for t in texts])
     folds = np.array([zlib.crc32(f"fold{i}".encode()) % FOLDS for i in ids], np.int64)
     chain, extra = Chain(names), np.zeros((len(texts), 0))
     for j in range(len(names)):
-        y = targets[:, j]
-        chain.weights.append(_fit_link(x, extra, y))
-        if j + 1 < len(names):
-            out = np.zeros(len(texts))
-            for f in range(FOLDS):
-                rest = folds != f
-                if rest.all() or not rest.any():
-                    out[~rest] = y.mean() if len(y) else 0
-                    continue
-                out[~rest] = _link(_fit_link(x.take(rest), extra[rest], y[rest]), x.take(~rest), extra[~rest])
+        y, last = targets[:, j], j + 1 == len(names)
+        held = [] if last else [f for f in range(FOLDS) if (folds != f).any() and (folds == f).any()]
+        own, *others = _fits(x, extra, y, [folds >= 0, *(folds != f for f in held)], spark)
+        chain.weights.append(own)
+        if not last:
+            out = np.full(len(texts), y.mean() if len(y) else 0.0)
+            for f, w in zip(held, others, strict=True):
+                out[folds == f] = _link(w, x.take(folds == f), extra[folds == f])
             extra = np.column_stack([extra, out])
     return chain
 
 
-def fit(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("quality", "toxic"), per_class: int = PER_CLASS, chars: int = CHARS) -> Chain:
+def _fits(x: _Rows, extra: np.ndarray, y: np.ndarray, masks: list[np.ndarray], spark) -> list[np.ndarray]:
+    """The weights fitted to each choice of rows."""
+    one = lambda mask: _fit_link(x.take(mask), extra[mask], y[mask])
+    if spark is None or len(masks) < 2:
+        return [one(mask) for mask in masks]
+    sent = spark.sparkContext.broadcast(pickle.dumps((x.n, x.at.astype(np.int32), x.row.astype(np.int32), extra, y, masks)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, at, row, more, labels, chosen = pickle.loads(sent.value)
+        own = object.__new__(_Rows)
+        own.n, own.at, own.row = n, at, row
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                w = _fit_link(own.take(chosen[i]), more[chosen[i]], labels[chosen[i]])
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([w.tobytes()], pa.binary())], names=["i", "w"])
+
+    rows = map_arrow(spark.range(0, len(masks), 1, len(masks)), run, "i long, w binary").collect()  # FOLDS + 1 vectors
+    sent.destroy()
+    return [np.frombuffer(r["w"]) for r in sorted(rows, key=lambda r: r["i"])]
+
+
+def fit(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("quality", "toxic"), per_class: int = PER_CLASS) -> Chain:
     """A chain over the label ``columns``, in that order, from at most ``per_class`` rows of each combination."""
-    rows = training_sample(docs, labels, list(columns), per_class, chars)
+    rows = training_sample(docs, labels, list(columns), per_class)
     if not rows:
         return Chain(list(columns), [np.zeros(DIM + j + 1) for j in range(len(columns))])
     targets = np.array([[float(r[c] > 0) for c in columns] for r in rows])
-    return _train([r["text"] for r in rows], [r["doc_id"] for r in rows], targets, list(columns))
+    return _train([r["text"] for r in rows], [r["doc_id"] for r in rows], targets, list(columns), docs.sparkSession)
 
 
 def probabilities(chain: Chain, texts: list[str | None], places: _Places | None = None) -> np.ndarray:

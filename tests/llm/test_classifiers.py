@@ -89,3 +89,59 @@ def test_training_sample_is_bounded_and_skips_held_out(spark):
     assert not any(zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in rows)
     again = training_sample(docs.repartition(7, F.col("text")), labels, ["quality"], 64, 50)
     assert [r["doc_id"] for r in rows] == [r["doc_id"] for r in again]
+
+
+def test_scores_follow_from_the_models(spark):
+    """Both classifiers' scores, worked out again text by text from their models alone."""
+    import math
+    import re
+
+    import zstandard as z
+
+    docs, labels, _ = tables(spark)
+    model, chain = quality.fit(docs, labels), toxicity.fit(docs, labels)
+    texts = {r.doc_id: r.text or "" for r in docs.where("doc_id is not null").collect()}
+
+    def size(block, data):
+        made = z.ZstdCompressionDict(data) if data else None
+        return len(z.ZstdCompressor(level=quality.LEVEL, dict_data=made, write_checksum=False, write_content_size=False, write_dict_id=False).compress(block))
+
+    def score(text):
+        data = text.encode()
+        blocks = [data[i : i + quality.BLOCK] for i in range(0, len(data), quality.BLOCK)]
+        n = max(1, len(data))
+        g, b, p = (sum(size(x, d) for x in blocks) for d in (model.good, model.bad, None))
+        x = np.array([(b - g) / n, (b - g) / max(1, b + g), g / n, b / n, p / n]) if blocks else np.zeros(5)
+        return 1 / (1 + math.exp(-float((x - model.mean) / model.scale @ model.weights[:-1] + model.weights[-1])))
+
+    for r in quality.score(docs, model).where("doc_id < 40 or doc_id >= 9000").collect():
+        assert abs(r.score - score(texts[r.doc_id])) < 1e-3
+
+    def link(text, w, before):
+        words = {zlib.crc32(x.encode()) % toxicity.DIM for x in set(re.findall(r"[^\W\d_]+", text.lower()))}
+        total = sum(w[p] for p in words) + sum(v * q for v, q in zip(w[toxicity.DIM : -1], before, strict=True)) + w[-1]
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
+
+    for r in toxicity.score(docs, chain).where("doc_id is not null").collect():
+        first = link(texts[r.doc_id], chain.weights[0], [])
+        assert abs(r.p_quality - first) < 1e-9 and abs(r.p_toxic - link(texts[r.doc_id], chain.weights[1], [first])) < 1e-9
+
+
+def test_folds_as_tasks_are_folds_in_the_driver(spark):
+    docs, labels = made(200)
+    y = np.array([[lab[1], lab[2]] for lab in labels], float)
+    given = [d[1] for d in docs], [d[0] for d in docs], y, ["quality", "toxic"]
+    here, there = toxicity._train(*given), toxicity._train(*given, spark)
+    assert all(np.allclose(a, b) for a, b in zip(here.weights, there.weights, strict=True))
+
+
+def test_whole_texts_train(spark):
+    """Only what comes late in long texts tells the classes apart."""
+    rng = random.Random(3)
+    filler = lambda: " ".join(f"w{rng.randrange(50)}" for _ in range(3000))
+    docs = spark.createDataFrame([(i, filler() + (" vile rotten" if i % 2 else " mild sweet")) for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    got = toxicity.score(docs, toxicity.fit(docs, labels)).where("held_out").collect()
+    assert len(got) > 20 and all((r.p_toxic > 0.5) == (r.doc_id % 2 == 1) for r in got)
+    rows = training_sample(docs, labels, ["toxic"], 30)
+    assert len(rows) == 60 and min(len(r["text"]) for r in rows) > 8000
