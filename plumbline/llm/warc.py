@@ -2,7 +2,7 @@
 
 Records follow WARC/1.1: an HTTP response for the first of equal payloads, and a revisit (identical payload digest)
 without payload for the others. Every record is a zstandard frame of its own, made with a dictionary that was trained
-on a bounded sample of records; the dictionary opens each archive in a skippable frame (magic 0x184D2A5D), so an
+on a bounded sample of whole records; the dictionary opens each archive in a skippable frame (magic 0x184D2A5D), so an
 archive can be read by itself, from its beginning or at any record's offset once the dictionary is loaded.
 
 Which record is a revisit is settled before anything is written: payloads of at least ``REVISIT_BYTES`` are grouped by
@@ -30,28 +30,30 @@ from plumbline.llm.store import filesystem, keep, map_arrow, shared_dir
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 32 << 20
 DICT_BYTES = 64 * 1024
-#: Records that the dictionary is trained on, and bytes taken of each.
-SAMPLE, SAMPLE_BYTES = 800, 8192
+#: Whole records that the dictionary is trained on: so many of the least hashes, as long as they add up to these bytes.
+SAMPLE, SAMPLE_TOTAL = 800, 32 << 20
 LEVEL = 3
 DATE = "2000-01-01T00:00:00Z"  # of every record: the table has no fetch times
 _SKIPPABLE = 0x184D2A5D
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def _record_id(page_id) -> str:
-    return f"<urn:page:{'none' if page_id is None else page_id}>"
+def _record_id(page_id, which: str) -> str:
+    return f"<urn:page:{'none' if page_id is None else page_id}:{which}>"
 
 
 def record(page_id, url: str | None, payload: bytes | None, digest: str, size: int, refers_to=None) -> bytes:
     """The plain bytes of one record; a payload of None makes a revisit to ``refers_to``."""
     uri = "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in url or "about:blank")
     sha = base64.b32encode(bytes.fromhex(digest)).decode()
+    # What revisits refer to is named by id and payload; all other records, repeats of an id too, by themselves.
+    own = digest if payload is not None and size >= REVISIT_BYTES and page_id is not None else uuid.uuid4().hex
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + (payload or b"")
     kind = "response" if payload is not None else "revisit"
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_record_id(page_id)}", f"WARC-Date: {DATE}", f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{sha}"]
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_record_id(page_id, own)}", f"WARC-Date: {DATE}", f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{sha}"]
     if payload is None:
-        lines += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {_record_id(refers_to)}"]
+        lines += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {_record_id(refers_to, digest)}"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(lines).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -194,12 +196,18 @@ def write(pages: DataFrame, folder: str | None = None, archive_bytes: int = ARCH
         place = F.row_number().over(Window.partitionBy("page_id", "key").orderBy("url"))
         settled = settled.withColumn("place", place).withColumn("revisit", F.col("revisit") | ((F.col("place") > 1) & F.col("key").isNotNull()))
         settled = settled.withColumn("refers_to", F.when(F.col("revisit"), F.coalesce("first", "page_id")))
-    # About four times the sample by the least hashes, cut to SAMPLE_BYTES each before anything is sorted or gathered.
+    # The least hashes are found without any payload; about four times the sample is looked at.
     total = pages.count()
-    share = F.xxhash64("page_id", "url").cast("double") <= (2 * min(1.0, 4 * SAMPLE / max(1, total)) - 1) * 2.0**63
-    short = rows.where(share).select("page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("text"), "digest", "size")
-    picked = short.orderBy(F.xxhash64("page_id", "url"), "digest").limit(SAMPLE).collect()
-    sample = [record(r["page_id"], r["url"], r["text"].encode("utf-8", "surrogatepass"), r["digest"], r["size"]) for r in picked]
+    hashed = rows.withColumn("h", F.xxhash64("page_id", "url", "digest"))
+    few = hashed.where(F.col("h").cast("double") <= (2 * min(1.0, 4 * SAMPLE / max(1, total)) - 1) * 2.0**63)
+    wanted, size = [], 0
+    for r in few.groupBy("h").agg(F.min("size").alias("size")).orderBy("h").limit(SAMPLE).collect():
+        if size + r["size"] <= SAMPLE_TOTAL:  # a record that doesn't fit any more is not in the sample
+            wanted.append(r["h"])
+            size += r["size"]
+    one = F.min(F.struct("page_id", "url", "digest", "size")).alias("r"), F.min("html").alias("html")
+    picked = hashed.where(F.col("h").isin(wanted)).groupBy("h").agg(*one).orderBy("h").collect() if wanted else []
+    sample = [record(p["r"]["page_id"], p["r"]["url"], p["html"].encode("utf-8", "surrogatepass"), p["r"]["digest"], p["r"]["size"]) for p in picked]
     sent = spark.sparkContext.broadcast(train(sample))
     columns = settled.select("page_id", "url", F.when(~F.col("revisit"), F.col("html")).alias("html"), "digest", "size", "refers_to", "revisit")
     return keep(map_arrow(columns, _write_batches(folder, sent, archive_bytes), _MANIFEST))
@@ -210,7 +218,7 @@ _RECORD = "page_id long, payload_bytes long, payload_digest string, record_type
 
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string()), ("archive", pa.string()), ("offset", pa.int64())])
-    number = lambda urn: None if urn is None or urn == "<urn:page:none>" else int(urn[len("<urn:page:") : -1])
+    number = lambda urn: None if urn is None or urn.startswith("<urn:page:none:") else int(urn.split(":")[2])
     for batch in batches:
         for path in batch.column(0).to_pylist():
             fs, place = filesystem(path)
