@@ -7,9 +7,9 @@ intervals are nested or apart. One sorted sweep over interval ends and urls carr
 are open: the last end before a url tells it. Of the stack, the rules whose path begins the url's path apply, and the
 longest (host and path together; of equal ones that with the longer host, then a block) gives the verdict.
 
-The sweep is dealt by ranges of keys, cut at rule hosts, and by a salt of the url, so that neither a host with a third
-of all rows nor few rules put many rows into one task. Each (range, salt) gets the ends inside its range and one at its
-beginning with the stack there. Urls are shuffled once, without any other column but their key.
+The sweep is dealt by ranges of keys, cut at rule hosts, and where a range holds many urls by a salt of the url, so that
+neither a host with a third of all rows nor few rules put many rows into one task. Each (range, salt) gets the ends
+inside its range and one at its beginning with the stack there. Urls are shuffled once, without any other column but their key.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: Ranges of rule hosts; more rules only make the ranges longer.
 RANGES = 64
+#: Urls of one range that a task sweeps; a range with more is salted.
+SHARE = 20_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -71,19 +73,25 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     # At most RANGES cuts: the rule hosts of the least hashes, an even sample that needs no global sort.
     spread = ends.where("close = 0").select("key").orderBy(F.xxhash64("key"), "key").limit(RANGES)
     cuts = sorted({r["key"] for r in spread.collect()} - {""})
-    salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bounds = F.array(*map(F.lit, cuts)) if cuts else F.expr("cast(array() as array<string>)")
     range_of = lambda key: F.size(F.filter(bounds, lambda c: c <= key))
 
     urls = pages.select(F.struct(*names).alias("row"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    urls = urls.withColumn("key", host_key(F.col("host"))).withColumn("range", range_of(F.col("key"))).withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int"))
+    urls = urls.withColumn("key", host_key(F.col("host"))).withColumn("range", range_of(F.col("key")))
 
     marks = ends.withColumn("range", range_of(F.col("key")))
-    # A range opens with the stack that is in force there: the last end before it.
-    starts = spark.createDataFrame([(i, c) for i, c in enumerate(["", *cuts])], "range int, start string")
-    before = starts.join(ends, F.col("key") < F.col("start")).groupBy("range", "start").agg(F.max_by("stack", F.struct("key", "close", "depth")).alias("stack"))
+    # A range opens with the stack that is in force there: the last end of the ranges before it. Each range's last end
+    # is one row, so that the window sees at most RANGES + 1 of them.
+    lasts = marks.groupBy("range").agg(F.max(F.struct("key", "close", "depth", "stack")).alias("m"))
+    starts = spark.range(len(cuts) + 1).select(F.col("id").cast("int").alias("range"), F.get(F.array(*map(F.lit, ["", *cuts])), F.col("id").cast("int")).alias("start"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = starts.join(lasts, "range", "left").select("range", "start", F.last("m.stack", ignorenulls=True).over(earlier).alias("stack")).where("stack is not null")
     marks = marks.select("range", "key", "close", "depth", "stack").union(before.select("range", F.col("start").alias("key"), F.lit(-1), F.lit(0), "stack"))
-    marks = marks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Only ranges that hold many urls are salted, each by its size, and only their rules are copied.
+    sizes = urls.groupBy("range").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("salts"))
+    counted = F.broadcast(sizes)  # at most RANGES + 1 rows
+    marks = marks.join(counted, "range").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    urls = urls.join(counted, "range").withColumn("salt", F.pmod(F.xxhash64("row"), F.col("salts")).cast("int")).drop("salts")
 
     row_type = urls.schema["row"].dataType.simpleString()
     events = marks.select("range", "salt", "key", F.col("close").alias("kind"), "depth", "stack", F.lit(None).cast(row_type).alias("row"), F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path"))
@@ -106,4 +114,5 @@ RULES = [
 
 
 def default_rules(spark) -> DataFrame:
-    return spark.createDataFrame(RULES, "host string, path string, verdict string")
+    rows = F.array(*(F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in RULES))
+    return spark.range(1).select(F.inline(rows))
