@@ -78,6 +78,13 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_likeness(_table(spark, sf_dir, "documents"))
 
 
+def minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of the whole corpus by signature bands and verified Jaccard, beside op10's fingerprints."""
+    from plumbline.llm.minhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_urls": op2_urls,
@@ -89,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
     "op10_minhash": op10_minhash,
+    "minhash_classes": minhash_classes,
 }
 
 _OP7 = r"""
