@@ -115,3 +115,12 @@ def test_schedules_reach_all_sets(spark):
         for group in b.values():
             places = [r.frame_index for r in sorted(group, key=lambda r: r.pos)]
             assert len(places) == 2 and places[0] < places[1]
+
+
+def test_approximate_counts_are_near(spark):
+    from plumbline.plans.registry import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    exact = {r.event_type: r.users for r in spark.read.parquet(f"{sf}/events.parquet").groupBy("event_type").agg(F.count_distinct("user_id").alias("users")).collect()}
+    near = {r.event_type: r.users for r in QUERIES["users_per_type_approx"](spark, sf).collect()}
+    assert near.keys() == exact.keys() and all(abs(near[k] - exact[k]) <= 0.05 * exact[k] for k in exact)
