@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 #: Ranges of rule hosts; more rules only make the ranges longer.
 RANGES = 64
-#: Urls of one range that a task sweeps; a range with more is salted.
-SHARE = 20_000
+#: Urls of one range that are swept together, unless it has more rules; a range with more urls is salted.
+SHARE = 1000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -87,8 +87,11 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     before = starts.join(lasts, "range", "left").select("range", "start", F.last("m.stack", ignorenulls=True).over(earlier).alias("stack")).where("stack is not null")
     marks = marks.select("range", "key", "close", "depth", "stack").union(before.select("range", F.col("start").alias("key"), F.lit(-1), F.lit(0), "stack"))
-    # Only ranges that hold many urls are salted, each by its size, and only their rules are copied.
-    sizes = urls.groupBy("range").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("salts"))
+    # Only ranges that hold many urls are salted, each by its size, and only their rules are copied: so often that all
+    # copies are no more than the urls and the rules.
+    ruled = marks.groupBy("range").agg(F.count("*").alias("rules"))
+    share = F.greatest(F.lit(SHARE), F.coalesce("rules", F.lit(0)))
+    sizes = urls.groupBy("range").agg(F.count("*").alias("n")).join(ruled, "range", "left").select("range", F.ceil(F.col("n") / share).cast("int").alias("salts"))
     counted = F.broadcast(sizes)  # at most RANGES + 1 rows
     marks = marks.join(counted, "range").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
     urls = urls.join(counted, "range").withColumn("salt", F.pmod(F.xxhash64("row"), F.col("salts")).cast("int")).drop("salts")
