@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import decontaminate, packing, pii, quality, simhash
-from plumbline.llm.store import keep
+from plumbline.llm.store import discard, keep
 
 PII_KEY = "corpus-pipeline"
 _KEY = "__text_key"
@@ -32,8 +32,10 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Documents in which no window of a benchmark item occurs."""
     names = docs.columns
     key = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias(_KEY)
-    found = decontaminate.search(decontaminate.build_index(docs.select(key, "text"), id_col=_KEY), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    index = decontaminate.build_index(docs.select(key, "text"), id_col=_KEY)
+    found = decontaminate.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     gone = keep(found.where(F.size("runs") > 0).select(F.col("doc_id").alias(_KEY)).distinct())
+    discard(index)
     return docs.select(F.struct(*names).alias("row"), key).join(gone, _KEY, "left_anti").select("row.*")
 
 

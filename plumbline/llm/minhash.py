@@ -10,8 +10,8 @@ like another such text and unlike any other.
 that share a band meet in Spark, and their true Jaccard likeness over all shingles is computed; at 0.8 a pair misses all
 bands with a chance of one in twenty thousand. Two steps keep this linear where many texts are alike: first every text
 of a bucket is compared with the bucket's centre only, the text that shares most bands with others, and a text's
-shingles are moved once for each of its centres; then only buckets whose texts are still in different components are
-searched breadth first, in tiles of bounded rows and bytes, without comparing what is already connected.
+shingles are moved once for each of its centres; then a bucket's other texts, where they are still in different
+components, are searched breadth first, in tiles of bounded rows and bytes, without comparing what is already connected.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import components
+from plumbline.llm.marks import marked
 from plumbline.llm.simhash import fold, links, shingle_hashes
 from plumbline.llm.store import discard, keep, map_arrow
 
@@ -38,8 +39,6 @@ TILE = 256
 #: Bytes of shingles in a tile, and texts compared with one centre in a task; more of them only make more tiles.
 TILE_BYTES = 8 << 20
 STAR = 4096
-#: Up to so many texts are told to all tasks, so that no other text moves; beyond that the texts are joined.
-TOLD = 200_000
 
 
 def _maps(n: int = PERMUTATIONS) -> tuple[np.ndarray, np.ndarray]:
@@ -228,7 +227,7 @@ def _bucket_batches(least: float):
 
 
 def _star_links(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Of the candidate pairs (centre ``u``, ``v``) those that are alike; a centre of many is salted."""
+    """Of the candidate pairs (centre ``u``, ``v``) those that are alike, written; a centre of many is salted."""
     sizes = sets.select("node", "size")
     fit = pairs.join(sizes.withColumnsRenamed({"node": "u", "size": "a"}), "u").join(sizes.withColumnsRenamed({"node": "v", "size": "b"}), "v").where(F.least("a", "b") >= least * F.greatest("a", "b"))
     fit = keep(fit.select("u", "v"))
@@ -237,12 +236,16 @@ def _star_links(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     centres = salts.select("u", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("s"), F.col("u").alias("node"), F.lit(0).alias("rank"))
     dealt = ends.union(centres).join(sets.select("node", "shingles"), "node").select("u", "s", "node", "rank", "shingles")
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return map_arrow(dealt.repartition(parts, "u", "s").sortWithinPartitions("u", "s", "rank"), _star_batches(least), "u long, v long")
+    linked = keep(map_arrow(dealt.repartition(parts, "u", "s").sortWithinPartitions("u", "s", "rank"), _star_batches(least), "u long, v long"))
+    discard(fit)
+    return linked
 
 
-def _tile_links(met: DataFrame, sets: DataFrame, same: DataFrame, least: float, tile: int) -> DataFrame:
-    """Links between texts of ``met(key, node)`` that share a bucket but not a component of ``same(node, component)``."""
-    placed = met.join(same, "node", "left").withColumn("component", F.coalesce("component", "node")).join(sets.select("node", "size"), "node")
+def _tile_links(beside: DataFrame, sets: DataFrame, same: DataFrame, least: float, tile: int) -> DataFrame:
+    """Links between texts of ``beside(key, node)`` that share a bucket but not a component of ``same(node, component)``.
+
+    A bucket's centre is not among them: it has been compared with each, and what it links is in ``same``."""
+    placed = beside.join(same, "node", "left").withColumn("component", F.coalesce("component", "node")).join(sets.select("node", "size"), "node")
     sums = F.count("*").alias("n"), F.sum("size").alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("what"), F.min("component").alias("a"), F.max("component").alias("b")
     open_ones = placed.groupBy(F.struct("key").alias("k")).agg(*sums).where("a <> b").select(F.col("k.key").alias("key"), "n", "size", "what")
     # Buckets that gather the same texts are searched once.
@@ -251,20 +254,20 @@ def _tile_links(met: DataFrame, sets: DataFrame, same: DataFrame, least: float,
     chosen = placed.select("key", "node", "component").join(once.select("key", g.alias("g")), "key").withColumn("s", F.pmod(F.xxhash64("node", "key"), F.col("g")).cast("int"))
     tiles = F.transform(F.sequence(F.lit(0), F.col("g") - 1), lambda j: F.least(j, F.col("s")) * F.col("g") + F.greatest(j, F.col("s")))
     dealt = chosen.select("key", F.explode(tiles).alias("tile"), "node", "component").join(sets.select("node", "shingles"), "node")
-    parts = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(beside.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = dealt.select("key", "tile", "node", "component", "shingles").repartition(parts, "key", "tile").sortWithinPartitions("key", "tile")
     return map_arrow(runs, _bucket_batches(least), "u long, v long")
 
 
 def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(node, text)`` of the wanted texts ``(node, text_key)``, one row each; other texts move only if too many are
-    wanted to tell all tasks."""
-    few = wanted.count() <= TOLD
-    return rows.join(F.broadcast(wanted) if few else wanted, "text_key").select("node", "text").dropDuplicates(["node"])
+    """``(node, text)`` of the wanted texts ``(node, text_key)``, one row each; hardly another text moves."""
+    near = marked(rows.select("text_key", "text"), wanted.select("text_key"), "text_key", "__near").where("__near")
+    return near.drop("__near").dropDuplicates(["text_key"]).join(wanted, "text_key").select("node", "text")
 
 
 def text_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LIKE, tile: int = TILE, simhash: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Every row as ``(doc_id, text_key)`` and every distinct text as ``(text_key, root, least_id, n_rows)``, written.
+    """Every row, with its ``doc_id`` and ``text_key``, and every distinct text as ``(text_key, root, least_id, n_rows)``;
+    both are written.
 
     ``text_key`` is the SHA-256 of the text in UTF-8 (null: empty), ``root`` the same number for texts that links
     connect. With ``simhash``, pairs within the pigeonhole distance of the SimHash over the same shingles are
@@ -280,22 +283,25 @@ def text_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = keep(banded.join(shared, "key"))
     degrees = met.groupBy("node").agg(F.sum("n").alias("degree"))
     centres = met.join(degrees, "node").groupBy(F.struct("key").alias("k")).agg(F.max(F.struct("degree", "node")).alias("c")).select(F.col("k.key").alias("key"), F.col("c.node").alias("u"))
-    pairs = met.join(centres, "key").select("u", F.col("node").alias("v")).where("u <> v").distinct()
+    beside = keep(met.join(centres, "key").where("u <> node").select("key", "u", "node"))
+    pairs, done = beside.select("u", F.col("node").alias("v")).distinct(), [texts, met, beside]
     if simhash:
         prints = keep(texts.groupBy("fp").agg(F.min("node").alias("node")))
         twins = texts.select("fp", F.col("node").alias("v")).join(prints.withColumnRenamed("node", "u"), "fp").select("u", "v").where("u <> v")
         pairs = pairs.union(links(prints)).union(twins).distinct()
+        done.append(prints)
     pairs = keep(pairs)
     wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    sets = keep(map_arrow(_texts_of(rows, keep(texts.join(wanted, "node").select("node", "text_key"))), _shingle_batches, "node long, size long, shingles binary"))
-    linked = keep(_star_links(pairs, sets, least))
+    wanted = keep(texts.join(wanted, "node").select("node", "text_key"))
+    sets = keep(map_arrow(_texts_of(rows, wanted), _shingle_batches, "node long, size long, shingles binary"))
+    linked = _star_links(pairs, sets, least)
     first = keep(components(linked))
-    more = keep(_tile_links(met.select("key", "node"), sets, first, least, tile))
+    more = keep(_tile_links(beside.select("key", "node"), sets, first, least, tile))
     found = first if more.isEmpty() else components(first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
     classes = keep(texts.join(found, "node", "left").select("text_key", F.coalesce("component", "node").alias("root"), "least_id", "n_rows"))
-    for table in (texts, met, pairs, sets, linked, first, more):
+    for table in (*done, pairs, wanted, sets, linked, first, more):
         discard(table)
-    return every.select("doc_id", "text_key"), classes
+    return every, classes
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LIKE, tile: int = TILE) -> DataFrame:

@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.components import components
-from plumbline.llm.store import keep, map_arrow
+from plumbline.llm.marks import marked
+from plumbline.llm.store import discard, keep, map_arrow
 
 SEED = 42
 SHINGLE = 4
@@ -204,22 +205,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     differ in 7 to 9 bits and more, too many for blocks that still tell texts apart, so signature bands of MinHash
     give candidates besides. All candidates are verified. Null and empty texts are one group.
     """
-    from plumbline.llm.minhash import TOLD, text_classes
+    from plumbline.llm.minhash import text_classes
 
     key, text = "__text_key", F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    _, classes = text_classes(docs, id_col, text_col, simhash=True)
+    every, classes = text_classes(docs, id_col, text_col, simhash=True)
     order = F.struct(F.col("least_id").isNull(), "least_id", "text_key")
     chosen = classes.groupBy("root").agg(F.min_by("text_key", order).alias("first"))
     # What becomes of a text, for those with copies or near copies: all rows go, or one row stays.
     fates = keep(classes.join(chosen, "root").withColumn("stays", F.col("first") == F.col("text_key")).where("not stays or n_rows > 1").select(F.col("text_key").alias(key), "stays"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.unhex(F.sha2(text.cast("binary"), 256)).alias(key))
-    alone, met = rows.limit(0), rows
-    if fates.count() <= TOLD:
-        # All tasks know the hashes of these texts, so that no other text moves; the key itself decides below.
-        hashes, own = F.broadcast(fates.select(F.xxhash64(key).alias("__h")).distinct()), rows.withColumn("__h", F.xxhash64(key))
-        alone, met = own.join(hashes, "__h", "left_anti").drop("__h"), own.join(hashes, "__h", "left_semi").drop("__h")
-    told = met.join(fates, key, "left")
-    # Rows of a repeated text are reduced before they are shuffled.
+    discard(every)
+    discard(classes)
+    rows = marked(docs.select(F.struct(*docs.columns).alias("row"), F.unhex(F.sha2(text.cast("binary"), 256)).alias(key)), fates.select(key), key, "__met")
+    # Rows of a repeated text are reduced before they are shuffled. A row that is marked by chance is its text's only one.
     first = F.struct(F.col(f"row.`{id_col}`").isNull(), F.col(f"row.`{id_col}`"))
-    one = told.where("stays").groupBy(F.struct(key).alias("k")).agg(F.min_by("row", first).alias("row"))
-    return alone.select("row.*").union(told.where("stays is null").select("row.*")).union(one.select("row.*"))
+    one = rows.where("__met").groupBy(key).agg(F.min_by("row", first).alias("row")).join(fates.where("not stays"), key, "left_anti")
+    return rows.where("not __met").select("row.*").union(one.select("row.*"))

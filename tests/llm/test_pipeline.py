@@ -169,3 +169,36 @@ def test_rows_of_clashing_names_and_equal_ids(spark):
     assert left.columns == docs.columns
     got = sorted((str(r.doc_id), r.text) for r in left.select("doc_id", "text").collect())
     assert got == sorted([("1", text(1)), ("None", text(2)), ("3", text(3)), ("3", text(4)), ("4", "")])
+
+
+def test_stages_leave_no_large_tables(spark, corpus):
+    """What only the stage itself reads (signatures, shingle sets, the index of all words) is gone when it returns."""
+    from plumbline.llm import store
+
+    folder, _ = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for stage in (pipeline.near_duplicate_stage, pipeline.decontamination_stage):
+        before = set(store._made)
+        out = stage(spark, docs, folder)
+        left = [spark.read.parquet(path).columns for path in set(store._made) - before]
+        assert left and not {"bands", "shingles", "degree", "positions"} & {c for columns in left for c in columns}
+        assert out.count() > 0
+
+
+def test_marked_rows(spark, monkeypatch):
+    """Rows with a key are always marked, others seldom; with a full bitmap all may be, and the stage still decides right."""
+    from plumbline.llm import marks
+
+    rows = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("k"))
+    for n in (0, 1, 900):
+        keys = rows.where(F.col("id") < n).select("k")
+        got = marks.marked(rows, keys, "k", "hit").groupBy((F.col("id") < n).alias("own"), "hit").count().collect()
+        by = {(r.own, r.hit): r["count"] for r in got}
+        assert by.get((True, True), 0) == n and (True, False) not in by
+        assert by.get((False, True), 0) <= 20_000 / 32
+    monkeypatch.setattr(marks, "MOST_BITS", 2)
+    assert marks.marked(rows, rows.limit(50).select("k"), "k", "hit").where("hit").count() == 20_000
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    made = [(i, text(i % 40), "en", "s", 1, 1, 0) for i in range(100)] + [(None, text(3), "en", "s", 1, 1, 0)]
+    left = pipeline.near_duplicate_stage(spark, spark.createDataFrame(made, DOCS), "").collect()
+    assert sorted((r.doc_id, r.text) for r in left) == [(i, text(i)) for i in range(40)]
