@@ -231,13 +231,16 @@ def _star_links(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     sizes = sets.select("node", "size")
     fit = pairs.join(sizes.withColumnsRenamed({"node": "u", "size": "a"}), "u").join(sizes.withColumnsRenamed({"node": "v", "size": "b"}), "v").where(F.least("a", "b") >= least * F.greatest("a", "b"))
     fit = keep(fit.select("u", "v"))
-    salts = fit.groupBy("u").agg(F.ceil(F.count("*") / STAR).cast("int").alias("g"))
-    ends = fit.join(salts, "u").select("u", F.pmod(F.xxhash64("v"), F.col("g")).cast("int").alias("s"), F.col("v").alias("node"), F.lit(1).alias("rank"))
-    centres = salts.select("u", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("s"), F.col("u").alias("node"), F.lit(0).alias("rank"))
+    # Only centres of many are told to the tasks, one for STAR pairs at most, and no pair is dealt by its centre.
+    many = keep(fit.groupBy("u").count().where(F.col("count") > STAR).select("u", F.ceil(F.col("count") / STAR).cast("int").alias("g")))
+    salted = lambda rows: rows.join(F.broadcast(many), "u", "left").withColumn("g", F.coalesce("g", F.lit(1)))
+    ends = salted(fit).select("u", F.pmod(F.xxhash64("v"), F.col("g")).cast("int").alias("s"), F.col("v").alias("node"), F.lit(1).alias("rank"))
+    centres = salted(fit.select("u").distinct()).select("u", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("s"), F.col("u").alias("node"), F.lit(0).alias("rank"))
     dealt = ends.union(centres).join(sets.select("node", "shingles"), "node").select("u", "s", "node", "rank", "shingles")
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     linked = keep(map_arrow(dealt.repartition(parts, "u", "s").sortWithinPartitions("u", "s", "rank"), _star_batches(least), "u long, v long"))
     discard(fit)
+    discard(many)
     return linked
 
 

@@ -104,3 +104,19 @@ def test_near_duplicates_brute_force(spark, tile):
     got = sorted(map(tuple, m.near_duplicates(docs, tile=tile).collect()))
     assert got == sorted((d, least[find(i)], len(texts[find(i)]) - 1) for i, (d, _) in enumerate(rows))
     assert m.near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_star_of_many_is_salted(spark, monkeypatch):
+    """Every pair of a centre is compared, however many tasks share it, and the pairs aren't dealt by their centre."""
+    import numpy as np
+
+    monkeypatch.setattr(m, "STAR", 3)
+    own = list(range(100))
+    sets = [(0, own), *((i, own[i % 5 :]) for i in range(1, 20)), (20, own[50:] + list(range(200, 250))), (21, own[:99]), (22, own[:99])]
+    made = spark.createDataFrame([(n, len(x), np.array(x, np.uint64).tobytes()) for n, x in sets], "node long, size long, shingles binary")
+    pairs = [(0, i) for i in range(1, 21)] + [(21, 22)]
+    read, plans = m.keep, []
+    monkeypatch.setattr(m, "keep", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or read(df))
+    got = m._star_links(spark.createDataFrame(pairs, "u long, v long"), made, 0.8)
+    assert sorted(map(tuple, got.collect())) == [p for p in sorted(pairs) if p != (0, 20)]
+    assert "strategy=broadcast" in plans[-1]
